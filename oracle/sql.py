@@ -321,14 +321,116 @@ ORACLE: dict[str, str] = {
         ON d.custom_id = p.custom_id AND d.dropoff_timestmp = p.timestmp""",
     "avg_fare_per_mile": UP_TO_MODEL + """SELECT round(avg(fare / trip_distance), 3)
         AS avg_fare_per_mile FROM trips_data WHERE fare <> 0 AND trip_distance <> 0""",
-    "avg_tip_by_zone": UP_TO_MODEL + """SELECT p.geohash, round(avg(d.tip), 3) AS avg_tip,
+    # Tips are money in cents: averaged exactly (as DECIMAL), so the rounding of
+    # ties does not depend on the order of a floating-point sum.
+    "avg_tip_by_zone": UP_TO_MODEL + """SELECT p.geohash,
+        CAST(round(avg(CAST(d.tip AS DECIMAL(18,2))), 3) AS DOUBLE) AS avg_tip,
         count(*) AS n_trips
       FROM trips_data d JOIN trips_pickup p
         ON d.custom_id = p.custom_id AND d.pickup_timestmp = p.timestmp
       GROUP BY p.geohash""",
     "top10_pickup_zones": UP_TO_MODEL + """SELECT geohash, avg_tip FROM (
-        SELECT p.geohash, round(avg(d.tip), 3) AS avg_tip
+        SELECT p.geohash, CAST(round(avg(CAST(d.tip AS DECIMAL(18,2))), 3) AS DOUBLE) AS avg_tip
         FROM trips_data d JOIN trips_pickup p
           ON d.custom_id = p.custom_id AND d.pickup_timestmp = p.timestmp
         GROUP BY p.geohash) ORDER BY avg_tip DESC, geohash LIMIT 10""",
 }
+
+
+def _nullcode(c: str, table: dict) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in table.items())
+    return f"CASE {c} {whens} END"
+
+
+TYPED = with_ctes(RAW, f"""
+typed AS (
+  SELECT {_nullcode('VendorID', _VENDOR)} AS VendorID,
+    {_ts('tpep_pickup_datetime')} AS tpep_pickup_datetime,
+    {_ts('tpep_dropoff_datetime')} AS tpep_dropoff_datetime,
+    {_num('passenger_count')} AS passenger_count,
+    {_num('trip_distance')} AS trip_distance,
+    {_pc('pickup_longitude')} AS pickup_longitude,
+    {_pc('pickup_latitude')} AS pickup_latitude,
+    {_nullcode('RateCodeID', _RATE)} AS RateCodeID,
+    store_and_fwd_flag,
+    {_pc('dropoff_longitude')} AS dropoff_longitude,
+    {_pc('dropoff_latitude')} AS dropoff_latitude,
+    {_nullcode('payment_type', _PAY)} AS payment_type,
+    {', '.join(f"{_num(c)} AS {c}" for c in NUM[2:])}
+  FROM trips_raw
+)""")
+
+_TRIM_BOUNDS = """
+b_lon AS (
+  SELECT quantile_cont(pickup_longitude, 0.02) AS plo_a, quantile_cont(pickup_longitude, 0.98) AS plo_b,
+         quantile_cont(dropoff_longitude, 0.02) AS dlo_a, quantile_cont(dropoff_longitude, 0.98) AS dlo_b
+  FROM typed
+),
+b_plat AS (
+  SELECT quantile_cont(pickup_latitude, 0.02) AS pla_a, quantile_cont(pickup_latitude, 0.98) AS pla_b
+  FROM typed, b_lon WHERE pickup_longitude BETWEEN plo_a AND plo_b
+),
+b_dlat AS (
+  SELECT quantile_cont(dropoff_latitude, 0.02) AS dla_a, quantile_cont(dropoff_latitude, 0.98) AS dla_b
+  FROM typed, b_lon WHERE dropoff_longitude BETWEEN dlo_a AND dlo_b
+),
+trimmed AS (
+  SELECT typed.* FROM typed, b_lon, b_plat, b_dlat
+  WHERE pickup_longitude BETWEEN plo_a AND plo_b AND pickup_latitude BETWEEN pla_a AND pla_b
+    AND dropoff_longitude BETWEEN dlo_a AND dlo_b AND dropoff_latitude BETWEEN dla_a AND dla_b
+)"""
+
+_DUR = ("date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) > 1 AND "
+        "date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) < 86400")
+_CODES_KNOWN = "VendorID IS NOT NULL AND RateCodeID IS NOT NULL AND payment_type IS NOT NULL"
+_AMOUNTS_NONZERO = ("passenger_count <> 0 AND trip_distance <> 0 AND fare_amount <> 0 "
+                    "AND total_amount <> 0")
+_ALL = [c.strip() for c in RAW_COLS.split(",")]
+
+
+def _stack(select_per_col: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(select_per_col.format(c=c) for c in cols)
+
+
+ORACLE.update({
+    "coord_ranges": TYPED + _stack(
+        "SELECT '{c}' AS column, min({c}) AS min_value, max({c}) AS max_value FROM typed", COORD),
+    "coord_quantiles": TYPED + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, CAST({p} AS DOUBLE) AS p, quantile_cont({c}, {p}) AS value FROM typed"
+        for c in COORD for p in (0.02, 0.98)),
+    "quantile_trim": TYPED.rstrip() + "," + _TRIM_BOUNDS + "\nSELECT * FROM trimmed",
+    "duration_check": UP_TO_STAGED + """SELECT * FROM staged
+      WHERE date_diff('second', strptime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'),
+                      strptime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S')) > 1
+        AND date_diff('second', strptime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'),
+                      strptime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S')) < 86400""",
+    "drop_unknown_codes": TYPED + f"SELECT * FROM typed WHERE {_CODES_KNOWN}",
+    "drop_zero_amounts": TYPED + f"SELECT * FROM typed WHERE {_AMOUNTS_NONZERO}",
+    "profile_clean": TYPED.rstrip() + "," + _TRIM_BOUNDS + f"""
+      SELECT * FROM trimmed WHERE {_DUR} AND {_CODES_KNOWN} AND {_AMOUNTS_NONZERO}""",
+    "null_counts": TYPED + _stack(
+        "SELECT '{c}' AS column, count(*) - count({c}) AS n_null FROM typed", _ALL),
+    "zero_counts": TYPED + _stack(
+        "SELECT '{c}' AS column, count(*) FILTER (WHERE {c} = 0) AS n_zero FROM typed",
+        NUM + COORD),
+    "flag_counts": UP_TO_RAW + """SELECT store_and_fwd_flag, count(*) AS n FROM trips_raw
+      WHERE store_and_fwd_flag IS NOT NULL GROUP BY store_and_fwd_flag""",
+    "stage_retention": UP_TO_CLASSIFIED + """,
+      steps AS (
+        SELECT * FROM (VALUES (0, 'raw'), (1, 'header'), (2, 'coord_not_finite'),
+          (3, 'zero_pickup'), (4, 'zero_dropoff'), (5, 'coord_out_of_range'),
+          (6, 'bad_datetime'), (7, 'pickup_after_dropoff'), (8, 'bad_passenger_count'))
+          AS s(step, rule)
+      ),
+      reason_rank AS (
+        SELECT s.step AS reason_step, count(*) AS n
+        FROM classified c JOIN steps s ON c.reject_reason = s.rule GROUP BY s.step
+      ),
+      total AS (SELECT count(*) AS raw FROM classified)
+      SELECT s.step, s.rule,
+        CAST(raw - coalesce((SELECT sum(n) FROM reason_rank WHERE reason_step <= s.step), 0)
+             AS BIGINT) AS rows_left,
+        round((raw - coalesce((SELECT sum(n) FROM reason_rank WHERE reason_step <= s.step), 0))
+              / raw, 6) AS share_left
+      FROM steps s, total""".replace("\n      steps", "\nsteps", 1),
+})

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxiframe.functions import codes, datetimes, geo, numbers
-from taxiframe.operators import analytics, clean, model
+from taxiframe.operators import analytics, clean, model, profile
 from taxiframe.plans import trips
 from taxiframe.schemas import COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS
 
@@ -249,3 +249,80 @@ def avg_tip_by_zone(spark, sf_dir):
 def top10_pickup_zones(spark, sf_dir):
     """G1: the ten pickup zones with the highest average tip."""
     return analytics.top10_pickup_zones(trips.data(spark, sf_dir), trips.pickup(spark, sf_dir))
+
+
+# --- data-quality profile ----------------------------------------------------------
+
+def _typed(spark, sf_dir) -> DataFrame:
+    return profile.typed(trips.raw(spark, sf_dir).drop("source_file"))
+
+
+def _typed_out(df: DataFrame) -> DataFrame:
+    return _ntz(df.select(*RAW_COLUMNS), *DATETIMES)
+
+
+@query
+def coord_ranges(spark, sf_dir):
+    """Min / max of the parsed coordinates."""
+    return profile.coord_ranges(_typed(spark, sf_dir))
+
+
+@query
+def coord_quantiles(spark, sf_dir):
+    """Exact 2 % / 98 % quantiles of the parsed coordinates."""
+    return profile.coord_quantiles(_typed(spark, sf_dir))
+
+
+@query
+def quantile_trim(spark, sf_dir):
+    """Rows inside the quantile ranges of all four coordinates."""
+    return _typed_out(profile.quantile_trim(_typed(spark, sf_dir)))
+
+
+@query
+def duration_check(spark, sf_dir):
+    """C8 on the staged trips: 1 s < duration < 1 day."""
+    st = trips.staged(spark, sf_dir)
+    return st.filter(profile.duration_ok())
+
+
+@query
+def drop_unknown_codes(spark, sf_dir):
+    """Rows whose three codes are all known."""
+    return _typed_out(profile.drop_unknown_codes(_typed(spark, sf_dir)))
+
+
+@query
+def drop_zero_amounts(spark, sf_dir):
+    """C11: rows with non-zero passenger count, distance, fare and total."""
+    return _typed_out(profile.drop_zero_amounts(_typed(spark, sf_dir)))
+
+
+@query
+def profile_clean(spark, sf_dir):
+    """H8: the whole profile chain C7 -> C9 -> C8 -> C10 -> C11."""
+    return _typed_out(profile.profile_clean(trips.raw(spark, sf_dir).drop("source_file")))
+
+
+@query
+def null_counts(spark, sf_dir):
+    """E5: nulls per column of the typed raw trips."""
+    return profile.null_counts(_typed(spark, sf_dir), RAW_COLUMNS)
+
+
+@query
+def zero_counts(spark, sf_dir):
+    """Zeros per amount and coordinate column."""
+    return profile.zero_counts(_typed(spark, sf_dir))
+
+
+@query
+def flag_counts(spark, sf_dir):
+    """Rows per store-and-forward flag value."""
+    return profile.value_counts(trips.raw(spark, sf_dir), "store_and_fwd_flag")
+
+
+@query
+def stage_retention(spark, sf_dir):
+    """Rows left after each staging rule."""
+    return profile.stage_retention(trips.classified(spark, sf_dir))
