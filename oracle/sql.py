@@ -434,3 +434,45 @@ ORACLE.update({
               / raw, 6) AS share_left
       FROM steps s, total""".replace("\n      steps", "\nsteps", 1),
 })
+
+
+_MONTH_FILTER = ("(source_file LIKE 'yellow_tripdata_1996-03_%.csv.zip' "
+                 "OR source_file LIKE 'yellow_tripdata_1998-11_%.csv.zip')")
+_FILES = """,
+files AS (
+  SELECT source_file AS file_name,
+         CAST(sum(length(concat_ws(chr(9), """ + RAW_COLS + """)) + 1) AS BIGINT) AS length
+  FROM trips_raw GROUP BY source_file
+),
+manifest AS (
+  SELECT file_name, length,
+         regexp_replace(file_name, '\\.csv\\.zip$', '') AS name,
+         substr(file_name, 17, 7) AS month,
+         regexp_extract(file_name, '_([0-9]+)\\.csv\\.zip$', 1) AS part
+  FROM files WHERE suffix(file_name, '.csv.zip')
+)
+"""
+
+ORACLE.update({
+    "select_months": UP_TO_RAW + f"SELECT * FROM trips_raw WHERE {_MONTH_FILTER}",
+    "file_manifest": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length, name, month, part,
+        '/data/source/' || file_name AS source_path,
+        '/data/raw/' || name || '.csv' AS raw_path,
+        '/data/staging/' || name AS staging_path
+      FROM manifest WHERE contains(file_name, '1996')""",
+    "new_files": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length, month, part
+      FROM manifest WHERE CAST(part AS INTEGER) % 2 = 1""",
+    "read_raw": UP_TO_RAW + f"SELECT {RAW_COLS} FROM trips_raw",
+    "read_staged": UP_TO_STAGED + "SELECT * FROM staged",
+    "append_tmp": UP_TO_LOAD + "SELECT * FROM load",
+    "extract_raw": UP_TO_RAW + f"""SELECT {RAW_COLS} FROM trips_raw WHERE {_MONTH_FILTER}
+      AND CASE
+        WHEN TRY_CAST(pickup_longitude AS DOUBLE) IS NULL THEN false
+        WHEN abs(TRY_CAST(pickup_longitude AS DOUBLE)) >= 0.01 THEN true
+        WHEN TRY_CAST(pickup_latitude AS DOUBLE) IS NULL THEN false
+        WHEN abs(TRY_CAST(pickup_latitude AS DOUBLE)) >= 0.01 THEN true
+        WHEN TRY_CAST(dropoff_longitude AS DOUBLE) IS NULL THEN false
+        WHEN abs(TRY_CAST(dropoff_longitude AS DOUBLE)) >= 0.01 THEN true
+        WHEN TRY_CAST(dropoff_latitude AS DOUBLE) IS NULL THEN false
+        ELSE abs(TRY_CAST(dropoff_latitude AS DOUBLE)) >= 0.01 END""",
+})

@@ -20,9 +20,11 @@ AMOUNT_FIELDS = [("fare", "fare_amount"), ("extra", "extra"), ("mta", "mta_tax")
                  ("improvement_surcharge", "improvement_surcharge")]
 
 
-def conform_schema(df: DataFrame, fields: list[tuple[str, str]] = LOAD_FIELDS) -> DataFrame:
+def conform_schema(df: DataFrame, fields: list[tuple[str, str]] = LOAD_FIELDS,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Project to ``fields`` in order (B9): present columns are cast to the field
-    type and keep their nulls; absent columns get the type's default."""
+    type and keep their nulls; absent columns get the type's default. Columns
+    named in ``keep`` (e.g. the source part) are carried along at the end."""
     present = set(df.columns)
     out = []
     for name, typ in fields:
@@ -31,7 +33,7 @@ def conform_schema(df: DataFrame, fields: list[tuple[str, str]] = LOAD_FIELDS) -
             out.append(F.col(name).cast(spark_type).alias(name))
         else:
             out.append(F.lit(LOAD_DEFAULTS[typ]).cast(spark_type).alias(name))
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def known_columns(df: DataFrame, columns: list[str]) -> DataFrame:

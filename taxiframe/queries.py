@@ -16,6 +16,8 @@ from taxiframe.functions import codes, datetimes, geo, numbers
 from taxiframe.operators import analytics, clean, model, profile
 from taxiframe.plans import trips
 from taxiframe.schemas import COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS
+from taxiframe.session import scratch_path
+from taxiframe.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -326,3 +328,86 @@ def flag_counts(spark, sf_dir):
 def stage_retention(spark, sf_dir):
     """Rows left after each staging rule."""
     return profile.stage_retention(trips.classified(spark, sf_dir))
+
+
+# --- files: globs, manifest, reader, sinks ------------------------------------------
+
+#: Months picked by the month-selecting queries ('|'-separated, as the job takes them).
+MONTHS = "1996-03|1998-11"
+#: Year matched by the manifest query (the filter is "name contains").
+MANIFEST_MONTH = "1996"
+BASE_GLOB = "*.csv.zip"
+
+
+def _line_length() -> F.Column:
+    """Characters of a trip line: 19 tab-separated fields and a newline."""
+    return F.length(F.concat_ws("\t", *RAW_COLUMNS)) + 1
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    """One row per raw file: base name and size in characters."""
+    raw = trips.raw(spark, sf_dir)
+    return raw.groupBy(F.col("source_file").alias("file_name")).agg(
+        F.sum(_line_length()).cast("bigint").alias("length"))
+
+
+@query
+def select_months(spark, sf_dir):
+    """A1 / A2: the trip lines of the files matched by the month globs."""
+    raw = trips.raw(spark, sf_dir)
+    globs = files.month_patterns(BASE_GLOB, MONTHS)
+    return raw.filter(files.matches_any(F.col("source_file"), globs))
+
+
+@query
+def file_manifest(spark, sf_dir):
+    """Zipped files of the month with their derived locations."""
+    return files.file_manifest(_files(spark, sf_dir), MANIFEST_MONTH, root="/data")
+
+
+@query
+def new_files(spark, sf_dir):
+    """Files whose (name, size) is not loaded yet; parts with an even
+    number count as already loaded."""
+    man = files.file_manifest(_files(spark, sf_dir))
+    loaded = man.filter(F.col("part").cast("int") % 2 == 0)
+    return files.new_files(man, loaded).select("file_name", "length", "month", "part")
+
+
+@query
+def read_raw(spark, sf_dir):
+    """A3 / A4: trip lines written as tab-separated text and read back."""
+    path = scratch_path(spark, "raw-text")
+    files.write_raw(trips.raw(spark, sf_dir).select(*RAW_COLUMNS), path)
+    return files.read_raw(spark, path)
+
+
+@query
+def read_staged(spark, sf_dir):
+    """One-pass staging write (staged + quarantined), staged read back."""
+    path = scratch_path(spark, "staged")
+    sinks.write_stage(trips.raw(spark, sf_dir), path)
+    return sinks.read_staged(spark, path)
+
+
+@query
+def append_tmp(spark, sf_dir):
+    """Staged parts appended to the load table, then the even parts
+    loaded again; the rerun replaces them instead of doubling them."""
+    stage_path, load_path = scratch_path(spark, "staged"), scratch_path(spark, "load")
+    sinks.write_stage(trips.raw(spark, sf_dir), stage_path, extra=["source_file"])
+    staged = sinks.read_staged(spark, stage_path, extra=["source_file"]).withColumn(
+        "source_part", F.regexp_replace("source_file", r"\.csv\.zip$", "")).drop("source_file")
+    sinks.append_load(staged, load_path)
+    rerun = staged.filter(F.substring("source_part", -2, 2).cast("int") % 2 == 0)
+    sinks.append_load(rerun, load_path)
+    return spark.read.parquet(load_path).drop("source_part")
+
+
+@query
+def extract_raw(spark, sf_dir):
+    """H6 (older job): month files -> any datetime/coordinate present -> some
+    coordinate away from 0; all text."""
+    raw = trips.raw(spark, sf_dir)
+    picked = raw.filter(files.matches_any(F.col("source_file"), files.month_patterns(BASE_GLOB, MONTHS)))
+    return clean.any_coord_nonzero(clean.any_not_null(picked)).select(*RAW_COLUMNS)
