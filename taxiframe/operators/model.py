@@ -98,24 +98,41 @@ MODEL_CLUSTER_KEYS = {
 }
 
 
+#: A day needs at least this many rows on average to get its own folder;
+#: below it, days share a month folder (few large files instead of thousands
+#: of tiny ones) and ``day`` prunes through Parquet row-group statistics.
+DAY_FOLDER_MIN_ROWS = 100_000
+
+
+def choose_partition(load: DataFrame, time_col: str = "tpep_pickup_datetime") -> str:
+    """'day' or 'month' folders, from the average rows per day of ``load``
+    (one aggregate; two numbers reach the driver)."""
+    day = F.substring(time_col, 1, 10)
+    n, days = load.agg(F.count(F.lit(1)), F.approx_count_distinct(day)).first()
+    return "day" if days and n / days >= DAY_FOLDER_MIN_ROWS else "month"
+
+
 def write_partitioned(df: DataFrame, path: str, cluster_keys: list[str],
-                      mode: str = "overwrite") -> None:
-    """Write partitioned by ``day``, clustered by ``cluster_keys``.
+                      partition: str = "day", mode: str = "overwrite") -> None:
+    """Write partitioned by ``day`` (or ``month``), clustered by ``cluster_keys``.
 
     Range partitioning on (day, cluster keys) samples the data, so a day that
     holds a third of all rows is spread over many tasks and files instead of
-    landing in one; files come out sorted by the cluster keys for min/max
-    pruning. Dynamic partition overwrite replaces only the days written.
+    landing in one; files come out sorted by day and cluster keys for min/max
+    pruning. Dynamic partition overwrite replaces only the folders written.
     """
+    if partition == "month":
+        df = df.withColumn("month", F.date_format("day", "yyyy-MM"))
     (df.repartitionByRange("day", *cluster_keys)
        .sortWithinPartitions("day", *cluster_keys)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy("day").parquet(path))
+       .partitionBy(partition).parquet(path))
 
 
 def write_model(load: DataFrame, model_dir: str, run_ts: str | Column,
-                compat_dropoff: bool = False) -> dict[str, str]:
+                compat_dropoff: bool = False, partition: str | None = None) -> dict[str, str]:
     """Write the three model tables under ``model_dir``; returns their paths."""
+    partition = partition or choose_partition(load)
     tables = {
         "trips_pickup": pickup_points(load, run_ts),
         "trips_dropdown": dropoff_points(load, run_ts, compat_dropoff),
@@ -124,5 +141,5 @@ def write_model(load: DataFrame, model_dir: str, run_ts: str | Column,
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{model_dir.rstrip('/')}/{name}"
-        write_partitioned(df, paths[name], MODEL_CLUSTER_KEYS[name])
+        write_partitioned(df, paths[name], MODEL_CLUSTER_KEYS[name], partition)
     return paths

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from taxiframe.functions import codes, datetimes, geo, numbers
 from taxiframe.operators import analytics, clean, model, profile
-from taxiframe.plans import trips
+from taxiframe.plans import trips, warehouse
 from taxiframe.schemas import COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS
 from taxiframe.session import scratch_path
 from taxiframe.sources import files, sinks
@@ -210,6 +210,11 @@ def model_data(spark, sf_dir):
     return _data_out(trips.data(spark, sf_dir))
 
 
+def _wh(spark, sf_dir, name: str) -> DataFrame:
+    """A model table of the warehouse built once from ``sf_dir``."""
+    return warehouse.table(spark, sf_dir, name)
+
+
 def _join_out(df: DataFrame, time_col: str) -> DataFrame:
     out = df.select(F.col("d.custom_id").alias("custom_id"),
                     F.col(f"d.{time_col}").alias("timestmp"),
@@ -222,35 +227,37 @@ def _join_out(df: DataFrame, time_col: str) -> DataFrame:
 @query
 def join_trip_pickup(spark, sf_dir):
     """Data x pickup on (custom_id, pickup time)."""
-    j = analytics.join_trip_points(trips.data(spark, sf_dir), trips.pickup(spark, sf_dir),
-                                   "pickup_timestmp")
+    j = analytics.join_trip_points(_wh(spark, sf_dir, "trips_data"),
+                                   _wh(spark, sf_dir, "trips_pickup"), "pickup_timestmp")
     return _join_out(j, "pickup_timestmp")
 
 
 @query
 def join_trip_dropoff(spark, sf_dir):
     """Data x dropoff on (custom_id, dropoff time)."""
-    j = analytics.join_trip_points(trips.data(spark, sf_dir), trips.dropoff(spark, sf_dir),
-                                   "dropoff_timestmp")
+    j = analytics.join_trip_points(_wh(spark, sf_dir, "trips_data"),
+                                   _wh(spark, sf_dir, "trips_dropdown"), "dropoff_timestmp")
     return _join_out(j, "dropoff_timestmp")
 
 
 @query
 def avg_fare_per_mile(spark, sf_dir):
     """E1 / B22 / C6."""
-    return analytics.avg_fare_per_mile(trips.data(spark, sf_dir))
+    return analytics.avg_fare_per_mile(_wh(spark, sf_dir, "trips_data"))
 
 
 @query
 def avg_tip_by_zone(spark, sf_dir):
     """Average tip and number of joined trips per pickup geohash."""
-    return analytics.avg_tip_by_zone(trips.data(spark, sf_dir), trips.pickup(spark, sf_dir))
+    return analytics.avg_tip_by_zone(_wh(spark, sf_dir, "trips_data"),
+                                     _wh(spark, sf_dir, "trips_pickup"))
 
 
 @query
 def top10_pickup_zones(spark, sf_dir):
     """G1: the ten pickup zones with the highest average tip."""
-    return analytics.top10_pickup_zones(trips.data(spark, sf_dir), trips.pickup(spark, sf_dir))
+    return analytics.top10_pickup_zones(_wh(spark, sf_dir, "trips_data"),
+                                        _wh(spark, sf_dir, "trips_pickup"))
 
 
 # --- data-quality profile ----------------------------------------------------------

@@ -47,8 +47,9 @@ def test_zone_average_never_builds_pairs(spark):
 
 def test_model_write_partitioned_and_rerun_safe(spark, tmp):
     load = trips.load_table(spark, SF01)
-    paths = model.write_model(load, tmp + "/model", trips.RUN_TS)
-    paths = model.write_model(load, tmp + "/model", trips.RUN_TS)  # rerun: same days replaced
+    assert model.choose_partition(load) == "month"  # ~25 trips a day here
+    for _ in range(2):  # rerun: the same folders are replaced, not appended to
+        paths = model.write_model(load, tmp + "/model", trips.RUN_TS, partition="day")
     for name, path in paths.items():
         df = spark.read.parquet(path)
         assert "day" in df.columns
@@ -57,6 +58,8 @@ def test_model_write_partitioned_and_rerun_safe(spark, tmp):
     day = pick.select("day").first()[0]
     one_day = pick.filter(F.col("day") == day)
     assert "PartitionFilters: [isnotnull(day" in one_day._jdf.queryExecution().executedPlan().toString()
+    monthly = model.write_model(load, tmp + "/model_m", trips.RUN_TS, partition="month")
+    assert spark.read.parquet(monthly["trips_data"]).count() == 57766
 
 
 def test_conform_schema_defaults(spark):
