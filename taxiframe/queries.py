@@ -120,7 +120,7 @@ def geohash7(spark, sf_dir):
 @query
 def trip_minutes(spark, sf_dir):
     """Whole minutes of every trip of the data table."""
-    return trips.data(spark, sf_dir).select("custom_id", "trip_minutes")
+    return model.trip_data(_wh(spark, sf_dir, "load"), trips.RUN_TS).select("custom_id", "trip_minutes")
 
 
 @query
@@ -175,6 +175,9 @@ def stage_trips(spark, sf_dir):
 
 
 # --- model tables, joins, aggregates --------------------------------------------
+# The model tables are projections of the load table (``tripdata_tmp``); the
+# analytical queries read the model tables. Both come from the warehouse that
+# is built once per input by the real load path (see ``plans.warehouse``).
 
 def _points_out(df: DataFrame) -> DataFrame:
     return _ntz(df.drop("day"), "timestmp", "created_at")
@@ -183,19 +186,19 @@ def _points_out(df: DataFrame) -> DataFrame:
 @query
 def model_pickup(spark, sf_dir):
     """``trips_pickup``."""
-    return _points_out(trips.pickup(spark, sf_dir))
+    return _points_out(model.pickup_points(_wh(spark, sf_dir, "load"), trips.RUN_TS))
 
 
 @query
 def model_dropoff(spark, sf_dir):
     """A16 with the dropoff point."""
-    return _points_out(trips.dropoff(spark, sf_dir))
+    return _points_out(model.dropoff_points(_wh(spark, sf_dir, "load"), trips.RUN_TS))
 
 
 @query
 def model_dropdown_compat(spark, sf_dir):
     """A16 as the reference fills it: dropoff time, pickup point (Q1)."""
-    return _points_out(trips.dropoff(spark, sf_dir, compat=True))
+    return _points_out(model.dropoff_points(_wh(spark, sf_dir, "load"), trips.RUN_TS, compat=True))
 
 
 def _data_out(df: DataFrame) -> DataFrame:
@@ -207,7 +210,7 @@ def _data_out(df: DataFrame) -> DataFrame:
 @query
 def model_data(spark, sf_dir):
     """``trips_data`` (amount struct flattened)."""
-    return _data_out(trips.data(spark, sf_dir))
+    return _data_out(model.trip_data(_wh(spark, sf_dir, "load"), trips.RUN_TS))
 
 
 def _wh(spark, sf_dir, name: str) -> DataFrame:
