@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from taxiframe.operators import model
 from taxiframe.plans import trips
 from taxiframe.session import shared_dir
-from taxiframe.sources.derived import _landing_key
+from taxiframe.sources.derived import _landing_key, publish
 
 TABLES = ("trips_pickup", "trips_dropdown", "trips_data")
 
@@ -56,8 +56,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts: str = trips.RUN_TS) -> str:
     load = spark.read.parquet(f"{tmp}/load")
     model.write_model(load, tmp, run_ts)
     fs.create(_jpath(spark, tmp + "/_BUILT")).close()
-    if not fs.rename(_jpath(spark, tmp), _jpath(spark, final)):
-        fs.delete(_jpath(spark, tmp), True)
+    publish(spark, tmp, final)
     return final
 
 

@@ -121,6 +121,17 @@ def _landing_key(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1(ident.encode()).hexdigest()[:16]
 
 
+def publish(spark: SparkSession, tmp: str, final: str) -> None:
+    """Move a finished folder into place. If another run published first, its
+    copy wins and ours is dropped (renaming onto an existing folder would nest
+    ours inside it on HDFS-like file systems)."""
+    jvm = spark._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(final)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 def landing_table(spark: SparkSession, sf_dir: str) -> str:
     """Path of the raw trip lines derived from ``sf_dir``, written once.
 
@@ -139,8 +150,7 @@ def landing_table(spark: SparkSession, sf_dir: str) -> str:
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
         derived = derive_raw_trips(spread_small_input(read_table(spark, sf_dir, "lineitem")))
         derived.write.mode("overwrite").parquet(tmp)
-        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(tmp), jfinal):
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(tmp), True)
+        publish(spark, tmp, final)
     return final
 
 
