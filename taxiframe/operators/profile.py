@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from taxiframe.functions import codes, datetimes, geo, numbers
 from taxiframe.operators import clean
-from taxiframe.operators.quantiles import exact_quantiles, quantile_bounds
+from taxiframe.operators.quantiles import (exact_quantiles, quantile_bounds, split_points,
+                                           to_long)
 from taxiframe.schemas import (CODE_TABLES, COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS,
                                nonzero_amount_columns)
 
@@ -87,9 +88,12 @@ def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM) -> DataFrame
     pickup and dropoff; a row is kept when both its points are kept.
     """
     low, high = probs
-    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high)
+    # Bucket boundaries for all four columns from one sketch pass; they only
+    # balance the work, the quantiles stay exact.
+    splits = split_points(to_long(df, PICKUP + DROPOFF))
+    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high, splits=splits)
     inside = {c: F.col(c).between(*lon[c]) for c in lon}
-    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high,
+    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, splits=splits,
                           where={PICKUP[1]: inside[PICKUP[0]], DROPOFF[1]: inside[DROPOFF[0]]})
     keep = (inside[PICKUP[0]] & F.col(PICKUP[1]).between(*lat[PICKUP[1]])
             & inside[DROPOFF[0]] & F.col(DROPOFF[1]).between(*lat[DROPOFF[1]]))

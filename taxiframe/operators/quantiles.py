@@ -56,12 +56,16 @@ def split_points(long: DataFrame, buckets: int = DEFAULT_BUCKETS) -> dict[str, l
 
 
 def bucketed_long(df: DataFrame, cols: list[str], where: dict[str, Column] | None = None,
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  buckets: int = DEFAULT_BUCKETS,
+                  splits: dict[str, list[float]] | None = None) -> DataFrame:
     """``(name, v, bucket)``: values cut at their column's approximate split
-    points by ``Bucketizer`` (a JVM-side binary search per value)."""
+    points by ``Bucketizer`` (a JVM-side binary search per value). Split
+    points only balance the buckets; any points (e.g. computed once for a
+    wider set of rows) give the same exact result."""
     from pyspark.ml.feature import Bucketizer
 
-    splits = split_points(to_long(df, cols, where), buckets)
+    if splits is None:
+        splits = split_points(to_long(df, cols, where), buckets)
     inf = float("inf")
     arrays = [[-inf] + splits.get(c, []) + [inf] for c in cols]
     tmp_in = [f"_bv_{i}" for i in range(len(cols))]
@@ -95,9 +99,10 @@ def ranked_values(bucketed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     where: dict[str, Column] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int = DEFAULT_BUCKETS,
+                    splits: dict[str, list[float]] | None = None) -> DataFrame:
     """``(name, p, value)`` for each column of ``df`` and each ``p``."""
-    ranked, totals = ranked_values(bucketed_long(df, cols, where, buckets))
+    ranked, totals = ranked_values(bucketed_long(df, cols, where, buckets, splits))
     targets = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
                .withColumn("h", (F.col("total") - 1).cast("double") * F.col("p"))
                .withColumn("lo", F.floor("h").cast("bigint"))
@@ -117,10 +122,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
 def quantile_bounds(df: DataFrame, cols: list[str], low: float, high: float,
                     where: dict[str, Column] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> dict[str, tuple[float, float]]:
+                    buckets: int = DEFAULT_BUCKETS,
+                    splits: dict[str, list[float]] | None = None
+                    ) -> dict[str, tuple[float, float]]:
     """``{col: (q_low, q_high)}``: 2 numbers per column reach the driver, so
     the filters that use them are literals Parquet can push down."""
-    rows = exact_quantiles(df, cols, [low, high], where, buckets).collect()
+    rows = exact_quantiles(df, cols, [low, high], where, buckets, splits).collect()
     out: dict[str, list] = {c: [None, None] for c in cols}
     for r in rows:
         out[r["name"]][0 if r["p"] == low else 1] = r["value"]
