@@ -80,20 +80,23 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM) -> DataFrame:
+def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM,
+                  exact: bool = True) -> DataFrame:
     """Keep rows inside the inclusive quantile range of each coordinate.
 
     As the profile does it: the longitude range is taken over all rows, the
     latitude range over the rows inside the longitude range, separately for
     pickup and dropoff; a row is kept when both its points are kept.
+    ``exact=False`` takes the bounds from a bounded sketch instead (one pass
+    per stage, for full-history runs).
     """
     low, high = probs
     # Bucket boundaries for all four columns from one sketch pass; they only
     # balance the work, the quantiles stay exact.
-    splits = split_points(to_long(df, PICKUP + DROPOFF))
-    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high, splits=splits)
+    splits = split_points(to_long(df, PICKUP + DROPOFF)) if exact else None
+    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high, splits=splits, exact=exact)
     inside = {c: F.col(c).between(*lon[c]) for c in lon}
-    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, splits=splits,
+    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, splits=splits, exact=exact,
                           where={PICKUP[1]: inside[PICKUP[0]], DROPOFF[1]: inside[DROPOFF[0]]})
     keep = (inside[PICKUP[0]] & F.col(PICKUP[1]).between(*lat[PICKUP[1]])
             & inside[DROPOFF[0]] & F.col(DROPOFF[1]).between(*lat[DROPOFF[1]]))

@@ -123,10 +123,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 def quantile_bounds(df: DataFrame, cols: list[str], low: float, high: float,
                     where: dict[str, Column] | None = None,
                     buckets: int = DEFAULT_BUCKETS,
-                    splits: dict[str, list[float]] | None = None
-                    ) -> dict[str, tuple[float, float]]:
+                    splits: dict[str, list[float]] | None = None,
+                    exact: bool = True) -> dict[str, tuple[float, float]]:
     """``{col: (q_low, q_high)}``: 2 numbers per column reach the driver, so
-    the filters that use them are literals Parquet can push down."""
+    the filters that use them are literals Parquet can push down. With
+    ``exact=False`` a bounded ``percentile_approx`` sketch gives the bounds in
+    one pass (rank error about 1 / SKETCH_ACCURACY)."""
+    if not exact:
+        long = to_long(df, cols, where)
+        rows = (long.groupBy("name")
+                .agg(F.percentile_approx("v", [low, high], SKETCH_ACCURACY).alias("q"))
+                .collect())
+        return {r["name"]: (r["q"][0], r["q"][1]) for r in rows}
     rows = exact_quantiles(df, cols, [low, high], where, buckets, splits).collect()
     out: dict[str, list] = {c: [None, None] for c in cols}
     for r in rows:

@@ -38,3 +38,9 @@ def test_retention_is_monotone(spark):
     left = [r["rows_left"] for r in rows]
     assert left[0] == 60000 and left[-1] == 57766
     assert all(a >= b for a, b in zip(left, left[1:]))
+
+
+def test_approximate_trim_is_close(spark):
+    typed = profile.typed(trips.raw(spark, SF01))
+    approx = profile.quantile_trim(typed, exact=False).count()
+    assert abs(approx - 55200) <= 0.01 * 60000
