@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from taxiframe.llm import host_rules, mixing, packing
+from taxiframe.llm import host_rules, line_dedup, mixing, near_join, packing
 from taxiframe.llm.common import documents, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,6 +18,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_rules.apply_rules(docs).where("kept").select(docs.columns)
 
 
+def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the line chunks that an earlier document has."""
+    cleaned = line_dedup.dedup_lines(docs).select(docs.columns)
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return near_join.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     return mixing.emit(mixing.mix(docs)).select(docs.columns)
@@ -29,6 +41,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_chunks),
+    ("near_duplicates", near_duplicates),
     ("mix_sources", mix_sources),
     ("best_fit_packing", pack_sequences),
 ]

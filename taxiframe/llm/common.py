@@ -58,9 +58,7 @@ def lookup(left: DataFrame, table: DataFrame, left_key: str, key: str, salt: Col
     beyond that both sides are dealt by key and salt, so that a key with a
     third of all rows is spread over ``SALTS`` parts.
     """
-    width = 16 * len(table.columns) + 32
-    size = table.agg(F.sum(F.coalesce(F.length(F.col(key).cast("string")) * 4, F.lit(4)) + width)
-                     ).first()[0] or 0
+    size = table.agg(F.sum(F.length(F.to_json(F.struct(*table.columns))) * 2 + 32)).first()[0] or 0
     part = fresh("salt", [*left.columns, *table.columns])
     if size <= limit:
         return left.join(F.broadcast(table), left[left_key].eqNullSafe(table[key]), "left").drop(table[key])

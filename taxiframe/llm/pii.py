@@ -47,7 +47,9 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOGIN = re.compile(r"://([^\s/@:]+:[^\s/@]+)@")
-VALUE = re.compile(r"(?: ?(?:no|nr|number|num)\.?)? ?[:=#]? ?([A-Za-z0-9]+(?:[ -][0-9][A-Za-z0-9]*)*)")
+LEAD = r"(?: ?(?:no|nr|number|num)\.?)? ?[:=#]? ?"
+VALUE = re.compile(LEAD + r"([A-Za-z0-9]+(?:[ -][0-9][A-Za-z0-9]*)*)")
+IBAN = re.compile(LEAD + r"([A-Z]{2}[0-9]{2}(?:[ -]?[A-Z0-9]{1,4})*)")
 
 
 @lru_cache(maxsize=1)
@@ -95,6 +97,10 @@ def valid_iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def valid_value(value: str) -> bool:
+    return 6 <= len(value) <= 34 and len(only_digits(value)) >= 5
+
+
 def expand(text: str) -> list[tuple[str, int, int]]:
     """All spans ``(kind, start, end)`` of a text, by kind and start."""
     spans: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -124,10 +130,9 @@ def expand(text: str) -> list[tuple[str, int, int]]:
         elif kind == "login":
             if m := LOGIN.match(text, at):
                 candidate("login", m.start(1), m.end(1), True)
-        elif at >= after["account"] and not (at and text[at - 1].isalnum()) and (m := VALUE.match(text, last + 1)):
-            value = m[1]
-            ok = valid_iban(value) if cue == "iban" else 6 <= len(value) <= 34 and len(only_digits(value)) >= 5
-            if ok:
+        elif at >= after["account"] and not (at and text[at - 1].isalnum()):
+            m = (IBAN if cue == "iban" else VALUE).match(text, last + 1)
+            if m and (valid_iban if cue == "iban" else valid_value)(m[1]):
                 candidate("account", m.start(1), m.end(1), True)
     return [(k, a, b) for k in KINDS for a, b in spans[k]]
 

@@ -5,8 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxiframe.llm import host_rules, mixing, packing, pii
+from taxiframe.llm import (
+    fingerprints,
+    hmm,
+    host_rules,
+    line_dedup,
+    mixing,
+    near_join,
+    packing,
+    pii,
+    secrets,
+    token_counts,
+)
 from taxiframe.llm.common import documents
+from taxiframe.llm.oracle import ORACLE
+from taxiframe.session import scratch_path
+
+
+def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(documents(spark, sf_dir))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_links(documents(spark, sf_dir))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "text", F.col("removed.chunks").alias("n_removed_chunks"),
+                          F.col("removed.units").alias("n_removed_units"))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,15 +45,31 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
 
 
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = scratch_path(spark, "secret-ledger")
+    docs = documents(spark, sf_dir)
+    return secrets.digest(secrets.update(docs.select("doc_id", "text"), ledger))
+
+
+def op7_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(documents(spark, sf_dir))
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.apply_rules(documents(spark, sf_dir), carry=["doc_id"])
     measures = [F.col(f"quality.{m}").alias(m) for m in host_rules.MEASURES if m != "n_lines"]
     return judged.select("doc_id", *measures, "base_failed", "kept")
 
 
+def op9_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(documents(spark, sf_dir))
+    return counted.select("doc_id", "tokens.n_pretokens", "tokens.n_tokens")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenize(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mix, op5_pii_spans, op8_host_rules, op10_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_syncmer_fingerprints, op2_ngram_jaccard_join, op3_line_dedup, op4_source_mix, op5_pii_spans,
+    op6_secret_ledger, op7_hidden_markov_scores, op8_host_rules, op9_trie_token_counts, op10_best_fit_packing)}
