@@ -62,7 +62,7 @@ def fingerprint(text: Column) -> Column:
     """The sketch of a text as one string."""
     top = F.transform(F.filter(anchors(F.coalesce(text, F.lit(""))), lambda a: a.isNotNull()),
                       lambda a: F.shiftrightunsigned(a, 32))
-    smallest = F.slice(F.array_sort(F.array_distinct(top)), 1, SKETCH)
+    smallest = F.slice(F.sort_array(F.array_distinct(top)), 1, SKETCH)
     return F.array_join(F.transform(smallest, lambda a: F.lower(F.lpad(F.hex(a), WIDTH, "0"))), "")
 
 
@@ -73,7 +73,7 @@ def hashes(sketch: Column) -> Column:
 def likeness(one: Column, other: Column) -> Column:
     """Estimated Jaccard similarity of two fingerprints, 0 to 1."""
     def of(a: Column, b: Column) -> Column:
-        union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+        union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
         both = F.size(F.array_intersect(union, F.array_intersect(a, b))).cast("double")
         return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
 
