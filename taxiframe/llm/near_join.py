@@ -250,7 +250,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     classes = materialize(members.groupBy("same").agg(F.min("key").alias("key"), F.sum("rows").alias("weight")),
                           "near-classes")
     nodes = sketched.join(classes.select("same", "key"), ["same", "key"], "left_semi").select(
-        F.col("same").alias("member"), F.explode("nodes").alias("node")).distinct()
+        F.col("same").alias("member"), F.explode("nodes").alias("node"))
     # Nodes as (member, smallest member); a node of one member links nothing.
     smallest = nodes.groupBy("node").agg(F.min("member").alias("low"), F.max("member").alias("high")).where(
         "low != high").select("node", "low")
