@@ -6,8 +6,8 @@ adjacent units decides whether a chunk ends, so an insertion moves the borders
 next to it only. A line of several sentences is a block of its own: its first
 and last border don't depend on its neighbours.
 
-Chunks of at least two units and ``MIN_WORDS`` words that occur more than once
-in the corpus keep their first occurrence (by document id, then place); all
+Chunks of at least two units and ``MIN_WORDS`` words, or of ``LONG_WORDS`` words,
+that occur more than once in the corpus keep their first occurrence (by document id, then place); all
 others are removed from their texts. Equal hashes only make candidates: the
 bytes of the chunks are compared by grouping on the chunks themselves.
 
@@ -25,13 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxiframe.llm.common import fresh, let, materialize, row_key
+from taxiframe.llm.common import WORD, fresh, let, materialize, row_key
 
 #: A sentence with its blanks, a line with its end, or the rest of the text.
 UNIT = r"[^\n]*?[.!?] +|[^\n]*\n|[^\n]+"
 #: One in so many places is a border.
 SPREAD = 4
 MIN_UNITS, MIN_WORDS = 2, 10
+#: A unit of so many words spans several lines of a page.
+LONG_WORDS = 50
 
 
 def units(text: Column) -> Column:
@@ -82,8 +84,11 @@ def chunks(text: Column) -> Column:
 
 def eligible(text: Column) -> Column:
     """The chunks that are long enough to be removed."""
-    return F.filter(chunks(text), lambda c: (c["n"] >= MIN_UNITS) & (
-        F.regexp_count(c["chunk"], F.lit(r"[^\x20\x09-\x0D]+")) >= MIN_WORDS))
+    def able(c: Column) -> Column:
+        return let(F.regexp_count(c["chunk"], F.lit(WORD)), lambda words: (words >= LONG_WORDS) | (
+            (c["n"] >= MIN_UNITS) & (words >= MIN_WORDS)))
+
+    return F.filter(chunks(text), able)
 
 
 def removed_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

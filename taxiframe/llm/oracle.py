@@ -38,7 +38,8 @@ g AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY rid ORDER BY i
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk_no FROM c),
 chunks AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(k) AS k, chunk_no, min(i) AS first, count(*) AS n,
                   rtrim(string_agg(u, '' ORDER BY i), ' ' || chr(10)) AS chunk FROM g GROUP BY rid, chunk_no),
-able AS (SELECT * FROM chunks WHERE n >= 2 AND len(regexp_extract_all(chunk, '[^\x20\x09-\x0D]+')) >= 10),
+words AS (SELECT *, len(regexp_extract_all(chunk, '[^\x20\x09-\x0D]+')) AS words FROM chunks),
+able AS (SELECT * FROM words WHERE words >= 50 OR (n >= 2 AND words >= 10)),
 ranked AS (SELECT *, dense_rank() OVER (PARTITION BY chunk ORDER BY doc_id NULLS LAST, k, first) AS place FROM able),
 gone AS (SELECT rid, chunk_no, n FROM ranked WHERE place > 1),
 kept AS (SELECT g.rid, string_agg(g.u, '' ORDER BY g.i) AS text FROM g ANTI JOIN gone USING (rid, chunk_no)
