@@ -30,14 +30,14 @@ def _lat(cell: str) -> str:
             f"ELSE '40.' || (550000 + ({cell}) * 7000 + k % 11)::VARCHAR END")
 
 
-RAW = f"""
+RAW_CLEAN = f"""
 li AS (
   SELECT l_shipdate,
          (l_orderkey * 7 + l_linenumber + l_partkey * 13 + l_suppkey * 31)::BIGINT AS k
   FROM lineitem
 ),
-trips_raw AS (
-  SELECT
+trips_clean AS (
+  SELECT k,
     CASE WHEN k % 97 = 0 THEN '3' ELSE (1 + k % 2)::VARCHAR END AS VendorID,
     CASE WHEN k % 103 = 0 THEN '2015/04/01 00:00:00' ELSE {_shift('k % 86400')} END
       AS tpep_pickup_datetime,
@@ -74,24 +74,60 @@ NUM = ["passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax", "t
        "tolls_amount", "improvement_surcharge", "total_amount"]
 COORD = ["pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude"]
 
-# A Python number literal: integer without leading zeros, or a float.
-_LIT = (r"^\s*[+-]?(0+|[1-9][0-9]*|[0-9]+\.[0-9]*([eE][+-]?[0-9]+)?"
-        r"|\.[0-9]+([eE][+-]?[0-9]+)?|[0-9]+[eE][+-]?[0-9]+)\s*$")
-_INT = r"^\s*[+-]?(0+|[1-9][0-9]*)\s*$"
+# Dirty lines (FIXTURES.md section 2): modulus of k, text (None: null), columns.
+_DIRTY = [(401, None, "header"), (457, None, COORD + ["tpep_pickup_datetime", "tpep_dropoff_datetime"]),
+          (409, "nan", ["pickup_longitude"]), (419, "-inf", ["dropoff_latitude"]),
+          (421, "200.5", ["pickup_longitude"]), (433, "0", ["dropoff_longitude", "dropoff_latitude"]),
+          (431, "1.5", ["passenger_count"]), (443, None, ["passenger_count", "tip_amount"]),
+          (439, "15300000.0", ["trip_distance"]), (449, None, ["trip_distance"]), (461, "1e7", ["extra"]),
+          (463, "0.00005", ["extra"]), (479, "10000000.5", ["extra"])]
+
+
+def _dirty(c: str) -> str:
+    whens = ""
+    for mod, text, cols in _DIRTY:
+        if cols == "header":
+            whens += f" WHEN k % {mod} = 0 THEN '{c}'"
+        elif c in cols:
+            whens += f" WHEN k % {mod} = 0 THEN " + ("NULL" if text is None else f"'{text}'")
+    return f"CASE{whens} ELSE {c} END AS {c}"
+
+
+RAW = RAW_CLEAN + """,
+trips_raw AS (SELECT """ + ", ".join(_dirty(c.strip()) for c in RAW_COLS.split(",")) + """, source_file
+  FROM trips_clean)"""
+
+# A Python number literal is what casts to a number, has only digits, sign, dot
+# and exponent, and is not an integer with a leading zero.
+def _is_int(c: str) -> str:
+    return f"(ltrim(trim({c}), '+-') <> '' AND translate(ltrim(trim({c}), '+-'), '0123456789', '') = '')"
+
+
+def _is_number(c: str) -> str:
+    t = f"ltrim(trim({c}), '+-')"
+    return (f"(TRY_CAST(trim({c}) AS DOUBLE) IS NOT NULL AND translate(lower(trim({c})), '0123456789+-.e', '') = '' "
+            f"AND NOT ({_is_int(c)} AND starts_with({t}, '0') AND ltrim({t}, '0') <> ''))")
+
+
+def _try_num(c: str) -> str:
+    return f"CASE WHEN {_is_number(c)} AND isfinite(TRY_CAST(trim({c}) AS DOUBLE)) THEN TRY_CAST(trim({c}) AS DOUBLE) END"
 
 
 def _num(c: str) -> str:
-    return f"coalesce(CASE WHEN regexp_full_match({c}, '{_LIT}') THEN TRY_CAST(trim({c}) AS DOUBLE) END, 0.0)"
+    return f"coalesce({_try_num(c)}, 0.0)"
 
 
 def _num_text(c: str) -> str:
-    return (f"CASE WHEN regexp_full_match({c}, '{_INT}') THEN TRY_CAST(trim({c}) AS HUGEINT)::VARCHAR "
-            f"WHEN regexp_full_match({c}, '{_LIT}') THEN TRY_CAST(trim({c}) AS DOUBLE)::VARCHAR "
-            f"ELSE '0' END")
+    """What Python prints; DuckDB prints doubles of this data the same way,
+    but for the exponent form below 1e-4."""
+    d = f"TRY_CAST(trim({c}) AS DOUBLE)"
+    return (f"CASE WHEN NOT coalesce({_is_number(c)}, false) THEN '0' "
+            f"WHEN {_is_int(c)} THEN CASE WHEN translate(trim({c}), '+-0', '') = '' THEN '0' ELSE ltrim(trim({c}), '+') END "
+            f"ELSE ({d})::VARCHAR END")
 
 
 def _coord_text(c: str) -> str:
-    return (f"regexp_replace(regexp_replace(CAST(CAST({c} AS DECIMAL(10,7)) AS VARCHAR), "
+    return (f"regexp_replace(regexp_replace(CAST(TRY_CAST({c} AS DECIMAL(10,7)) AS VARCHAR), "
             f"'0+$', ''), '\\.$', '.0')")
 
 
@@ -208,7 +244,8 @@ def _points(time_col: str, point: str) -> str:
     {geohash_sql(point + '_longitude', point + '_latitude')} AS geohash,
     {point}_geom AS geom,
     strptime({time_col}, '%Y-%m-%d %H:%M:%S') AS timestmp,
-    {RUN_DAY} AS created_at
+    {RUN_DAY} AS created_at,
+    CAST(strptime({time_col}, '%Y-%m-%d %H:%M:%S') AS DATE) AS day
   FROM load"""
 
 
@@ -228,7 +265,8 @@ trips_data AS (
                        strptime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S')) AS trip_minutes,
     strptime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_timestmp,
     strptime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dropoff_timestmp,
-    {RUN_DAY} AS created_at
+    {RUN_DAY} AS created_at,
+    CAST(strptime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS DATE) AS day
   FROM load
 )"""
 
@@ -256,6 +294,17 @@ def _wkt(lon: str, lat: str) -> str:
     return f"'POINT(' || {_coord_text(_pc(lon))} || ' ' || {_coord_text(_pc(lat))} || ')'"
 
 
+# Tips are whole cents: the average is rounded once, from integers.
+_TIP = "CASE WHEN abs(round(d.tip * 100)) <= 1000000000000 THEN round(d.tip * 100)::HUGEINT END"
+_AVG_TIP = (f"CASE WHEN count({_TIP}) > 0 THEN CAST(sign(sum({_TIP})) * ((20 * abs(sum({_TIP})) + count({_TIP})) "
+            f"// (2 * count({_TIP}))) AS DOUBLE) / 1000 END")
+# The first column that fails to parse ends the test; otherwise the first
+# column with |value| >= 0.01 keeps the row (nan is not >= anything).
+_C5 = "CASE " + " ".join(
+    f"WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN false "
+    f"WHEN NOT isnan(TRY_CAST({c} AS DOUBLE)) AND abs(TRY_CAST({c} AS DOUBLE)) >= 0.01 THEN true" for c in COORD
+) + " ELSE false END"
+
 ORACLE: dict[str, str] = {
     "parse_coords": UP_TO_RAW + "SELECT " + ", ".join(f"{_pc(c)} AS {c}" for c in COORD)
     + " FROM trips_raw",
@@ -292,18 +341,7 @@ ORACLE: dict[str, str] = {
       WHERE pickup_longitude IS NOT NULL OR pickup_latitude IS NOT NULL
          OR dropoff_longitude IS NOT NULL OR dropoff_latitude IS NOT NULL
          OR tpep_pickup_datetime IS NOT NULL OR tpep_dropoff_datetime IS NOT NULL""",
-    # The first column that fails to parse ends the test; otherwise any
-    # column with |value| >= 0.01 before that keeps the row.
-    "any_coord_nonzero": UP_TO_RAW + f"""SELECT {RAW_COLS} FROM trips_raw
-      WHERE CASE
-        WHEN TRY_CAST(pickup_longitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(pickup_longitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(pickup_latitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(pickup_latitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(dropoff_longitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(dropoff_longitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(dropoff_latitude AS DOUBLE) IS NULL THEN false
-        ELSE abs(TRY_CAST(dropoff_latitude AS DOUBLE)) >= 0.01 END""",
+    "any_coord_nonzero": UP_TO_RAW + f"SELECT {RAW_COLS} FROM trips_raw WHERE {_C5}",
     "quarantine": UP_TO_CLASSIFIED + f"""SELECT {RAW_COLS}, reject_reason FROM classified
       WHERE reject_reason IS NOT NULL""",
     "stage_trips": UP_TO_STAGED + "SELECT * FROM staged",
@@ -321,16 +359,14 @@ ORACLE: dict[str, str] = {
         ON d.custom_id = p.custom_id AND d.dropoff_timestmp = p.timestmp""",
     "avg_fare_per_mile": UP_TO_MODEL + """SELECT round(avg(fare / trip_distance), 3)
         AS avg_fare_per_mile FROM trips_data WHERE fare <> 0 AND trip_distance <> 0""",
-    # Tips are money in cents: averaged exactly (as DECIMAL), so the rounding of
-    # ties does not depend on the order of a floating-point sum.
-    "avg_tip_by_zone": UP_TO_MODEL + """SELECT p.geohash,
-        CAST(round(avg(CAST(d.tip AS DECIMAL(18,2))), 3) AS DOUBLE) AS avg_tip,
+    "avg_tip_by_zone": UP_TO_MODEL + f"""SELECT p.geohash,
+        {_AVG_TIP} AS avg_tip,
         count(*) AS n_trips
       FROM trips_data d JOIN trips_pickup p
         ON d.custom_id = p.custom_id AND d.pickup_timestmp = p.timestmp
       GROUP BY p.geohash""",
-    "top10_pickup_zones": UP_TO_MODEL + """SELECT geohash, avg_tip FROM (
-        SELECT p.geohash, CAST(round(avg(CAST(d.tip AS DECIMAL(18,2))), 3) AS DOUBLE) AS avg_tip
+    "top10_pickup_zones": UP_TO_MODEL + f"""SELECT geohash, avg_tip FROM (
+        SELECT p.geohash, {_AVG_TIP} AS avg_tip
         FROM trips_data d JOIN trips_pickup p
           ON d.custom_id = p.custom_id AND d.pickup_timestmp = p.timestmp
         GROUP BY p.geohash) ORDER BY avg_tip DESC, geohash LIMIT 10""",
@@ -342,21 +378,27 @@ def _nullcode(c: str, table: dict) -> str:
     return f"CASE {c} {whens} END"
 
 
+def _fc(c: str) -> str:
+    """A coordinate of the profile: null unless it is a finite number."""
+    v = f"round(TRY_CAST({c} AS DOUBLE), 7)"
+    return f"CASE WHEN isfinite({v}) THEN {v} END"
+
+
 TYPED = with_ctes(RAW, f"""
 typed AS (
   SELECT {_nullcode('VendorID', _VENDOR)} AS VendorID,
     {_ts('tpep_pickup_datetime')} AS tpep_pickup_datetime,
     {_ts('tpep_dropoff_datetime')} AS tpep_dropoff_datetime,
-    {_num('passenger_count')} AS passenger_count,
-    {_num('trip_distance')} AS trip_distance,
-    {_pc('pickup_longitude')} AS pickup_longitude,
-    {_pc('pickup_latitude')} AS pickup_latitude,
+    {_try_num('passenger_count')} AS passenger_count,
+    {_try_num('trip_distance')} AS trip_distance,
+    {_fc('pickup_longitude')} AS pickup_longitude,
+    {_fc('pickup_latitude')} AS pickup_latitude,
     {_nullcode('RateCodeID', _RATE)} AS RateCodeID,
     store_and_fwd_flag,
-    {_pc('dropoff_longitude')} AS dropoff_longitude,
-    {_pc('dropoff_latitude')} AS dropoff_latitude,
+    {_fc('dropoff_longitude')} AS dropoff_longitude,
+    {_fc('dropoff_latitude')} AS dropoff_latitude,
     {_nullcode('payment_type', _PAY)} AS payment_type,
-    {', '.join(f"{_num(c)} AS {c}" for c in NUM[2:])}
+    {', '.join(f"{_try_num(c)} AS {c}" for c in NUM[2:])}
   FROM trips_raw
 )""")
 
@@ -441,7 +483,8 @@ _MONTH_FILTER = ("(source_file LIKE 'yellow_tripdata_1996-03_%.csv.zip' "
 _FILES = """,
 files AS (
   SELECT source_file AS file_name,
-         CAST(sum(length(concat_ws(chr(9), """ + RAW_COLS + """)) + 1) AS BIGINT) AS length
+         CAST(sum(length(concat_ws(chr(9), """ + ", ".join(
+    f"coalesce({c.strip()}, '')" for c in RAW_COLS.split(",")) + """)) + 1) AS BIGINT) AS length
   FROM trips_raw GROUP BY source_file
 ),
 manifest AS (
@@ -461,18 +504,17 @@ ORACLE.update({
         '/data/staging/' || name AS staging_path
       FROM manifest WHERE contains(file_name, '1996')""",
     "new_files": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length, month, part
-      FROM manifest WHERE CAST(part AS INTEGER) % 2 = 1""",
+      FROM manifest WHERE CAST(part AS INTEGER) % 2 = 1 OR part = '04'""",
+    "file_count": UP_TO_RAW.rstrip() + _FILES + """SELECT count(*) AS n_files
+      FROM manifest WHERE contains(file_name, '1996')""",
+    "model_incremental": UP_TO_MODEL.replace("FROM classified WHERE reject_reason IS NULL",
+        "FROM classified WHERE reject_reason IS NULL AND regexp_extract(source_file, '_([0-9]+)[.]csv', 1) IN "
+        "('00', '01')") + "SELECT * FROM trips_pickup",
     "read_raw": UP_TO_RAW + f"SELECT {RAW_COLS} FROM trips_raw",
     "read_staged": UP_TO_STAGED + "SELECT * FROM staged",
     "append_tmp": UP_TO_LOAD + "SELECT * FROM load",
     "extract_raw": UP_TO_RAW + f"""SELECT {RAW_COLS} FROM trips_raw WHERE {_MONTH_FILTER}
-      AND CASE
-        WHEN TRY_CAST(pickup_longitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(pickup_longitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(pickup_latitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(pickup_latitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(dropoff_longitude AS DOUBLE) IS NULL THEN false
-        WHEN abs(TRY_CAST(dropoff_longitude AS DOUBLE)) >= 0.01 THEN true
-        WHEN TRY_CAST(dropoff_latitude AS DOUBLE) IS NULL THEN false
-        ELSE abs(TRY_CAST(dropoff_latitude AS DOUBLE)) >= 0.01 END""",
+      AND (pickup_longitude IS NOT NULL OR pickup_latitude IS NOT NULL OR dropoff_longitude IS NOT NULL
+        OR dropoff_latitude IS NOT NULL OR tpep_pickup_datetime IS NOT NULL OR tpep_dropoff_datetime IS NOT NULL)
+      AND {_C5}""",
 })

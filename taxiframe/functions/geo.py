@@ -33,6 +33,12 @@ def is_finite(col: Column | str) -> Column:
     return ~(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
 
 
+def finite_coord(col: Column | str) -> Column:
+    """``round(float(text), 7)``; null on failure, null, nan and infinity."""
+    value = F.round(parse_float(col), COORD_DIGITS)
+    return F.when(is_finite(value), value)
+
+
 def coord_text(col: Column | str) -> Column:
     """Canonical text of a coordinate: 7 decimals, trailing zeros trimmed but one
     digit kept after the dot (-73.7000000 -> -73.7, -86 -> -86.0, 0 -> 0.0)."""

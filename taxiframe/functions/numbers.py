@@ -31,11 +31,17 @@ def is_int_text(col: Column | str) -> Column:
     return F.coalesce(_c(col).rlike(INT_TEXT), F.lit(False))
 
 
-def parse_number(col: Column | str) -> Column:
-    """Python-literal number or 0 (``0.5.1``, empty, null, ``007``, ``nan`` -> 0)."""
+def try_number(col: Column | str) -> Column:
+    """Python-literal number; null where the text is none (``0.5.1``, empty,
+    null, ``007``, ``nan``) or beyond what a double holds."""
     c = _c(col)
-    return F.coalesce(F.when(c.rlike(LITERAL_TEXT), F.trim(c).try_cast("double")),
-                      F.lit(0.0))
+    value = F.when(c.rlike(LITERAL_TEXT), F.trim(c).try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
+def parse_number(col: Column | str) -> Column:
+    """Python-literal number or 0."""
+    return F.coalesce(try_number(col), F.lit(0.0))
 
 
 def parse_float(col: Column | str) -> Column:
@@ -46,16 +52,37 @@ def parse_float(col: Column | str) -> Column:
     return F.when(c.rlike(FLOAT_TEXT), F.trim(c).try_cast("double"))
 
 
+def float_text(value: Column) -> Column:
+    """The text Python prints for a float: plain from 1e-4 up to 1e16, else
+    with an exponent of at least two digits (``1e+16``, ``1.5e-05``)."""
+    text, size = value.cast("string"), F.abs(value)
+    # The JVM switches to an exponent at 1e7 and below 1e-3.
+    plain = F.when(size < 1, value.try_cast("decimal(38,25)")).otherwise(value.try_cast("decimal(38,17)"))
+    plain = F.regexp_replace(F.regexp_replace(plain.cast("string"), r"0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
+    scientific = F.concat(mantissa, F.lit("e"), F.when(power < 0, F.lit("-")).otherwise(F.lit("+")),
+                          F.lpad(F.abs(power).cast("string"), F.when(F.abs(power) > 99, 3).otherwise(2), "0"))
+    return (F.when(~text.contains("E"), text)
+            .when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific))
+
+
+def int_text(text: Column) -> Column:
+    """The text Python prints for an integer literal of any length."""
+    body = F.ltrim(text, F.lit("+"))
+    return F.when(F.translate(body, "+-0", "") == "", F.lit("0")).otherwise(body)
+
+
 def number_text(col: Column | str) -> Column:
     """The text Python prints for the parsed number (as used inside the trip id).
 
-    Integer literals print without a fraction (``10``), floats with one
-    (``1.5``, ``1000.0``); a failed parse is the integer 0 (``0``).
+    Integer literals print as they stand (``10``, any length), floats with a
+    fraction or an exponent (``1.5``, ``15300000.0``, ``1e+16``); a failed
+    parse is the integer 0 (``0``).
     """
-    c = _c(col)
-    value = parse_number(c)
-    return (F.when(c.rlike(INT_TEXT), F.trim(c).try_cast("decimal(38,0)").cast("string"))
-            .when(c.rlike(LITERAL_TEXT), value.cast("string"))
+    c = F.trim(_c(col))
+    return (F.when(c.rlike(INT_TEXT), int_text(c))
+            .when(c.rlike(LITERAL_TEXT), float_text(c.try_cast("double")))
             .otherwise(F.lit("0")))
 
 

@@ -4,6 +4,8 @@
 ``pickup_points``, ``dropoff_points`` and ``trip_data`` are projections of the
 load table (no join, no shuffle). Writers partition each table by day and sort
 inside files by its cluster keys so Parquet min/max statistics prune reads.
+A load of some parts rebuilds the days that these parts touch, before or
+after, from the whole load table.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from taxiframe.functions import datetimes, geo, numbers
 from taxiframe.schemas import LOAD_DEFAULTS, LOAD_FIELDS
+from taxiframe.session import all_partitions
 
 GEOHASH_PRECISION = 7
 AMOUNT_FIELDS = [("fare", "fare_amount"), ("extra", "extra"), ("mta", "mta_tax"),
@@ -41,11 +44,12 @@ def known_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def _created_at(run_ts: str | Column) -> Column:
-    return datetimes.midnight_of(run_ts)
+def _created_at(run_ts: str | Column | None) -> Column:
+    """Midnight of the load time; of the current day where none is given."""
+    return datetimes.midnight_of(F.current_timestamp() if run_ts is None else run_ts)
 
 
-def point_table(load: DataFrame, time_col: str, point: str, run_ts: str | Column) -> DataFrame:
+def point_table(load: DataFrame, time_col: str, point: str, run_ts: str | Column | None = None) -> DataFrame:
     """One geometry table: id, geohash-7 and WKT of ``point`` ('pickup' or
     'dropoff'), the time of ``time_col``, load day, partition day."""
     ts = datetimes.parse_datetime(time_col)
@@ -58,18 +62,18 @@ def point_table(load: DataFrame, time_col: str, point: str, run_ts: str | Column
     ).withColumn("day", datetimes.day_of("timestmp"))
 
 
-def pickup_points(load: DataFrame, run_ts: str | Column) -> DataFrame:
+def pickup_points(load: DataFrame, run_ts: str | Column | None = None) -> DataFrame:
     """``trips_pickup``."""
     return point_table(load, "tpep_pickup_datetime", "pickup", run_ts)
 
 
-def dropoff_points(load: DataFrame, run_ts: str | Column, compat: bool = False) -> DataFrame:
+def dropoff_points(load: DataFrame, run_ts: str | Column | None = None, compat: bool = False) -> DataFrame:
     """``trips_dropdown`` (A16): dropoff time with the dropoff point; with
     ``compat=True`` the pickup point, as the reference's insert does."""
     return point_table(load, "tpep_dropoff_datetime", "pickup" if compat else "dropoff", run_ts)
 
 
-def trip_data(load: DataFrame, run_ts: str | Column) -> DataFrame:
+def trip_data(load: DataFrame, run_ts: str | Column | None = None) -> DataFrame:
     """``trips_data`` (A17): rounded amounts in a struct, minutes, times."""
     pickup = datetimes.parse_datetime("tpep_pickup_datetime")
     dropoff = datetimes.parse_datetime("tpep_dropoff_datetime")
@@ -98,48 +102,80 @@ MODEL_CLUSTER_KEYS = {
 }
 
 
-#: A day needs at least this many rows on average to get its own folder;
-#: below it, days share a month folder (few large files instead of thousands
-#: of tiny ones) and ``day`` prunes through Parquet row-group statistics.
-DAY_FOLDER_MIN_ROWS = 100_000
+def write_days(df: DataFrame, path: str, cluster_keys: list[str], replace: str = "dynamic") -> None:
+    """Write partitioned by ``day``, clustered by ``cluster_keys``.
 
-
-def choose_partition(load: DataFrame, time_col: str = "tpep_pickup_datetime") -> str:
-    """'day' or 'month' folders, from the average rows per day of ``load``
-    (one aggregate; two numbers reach the driver)."""
-    day = F.substring(time_col, 1, 10)
-    n, days = load.agg(F.count(F.lit(1)), F.approx_count_distinct(day)).first()
-    return "day" if days and n / days >= DAY_FOLDER_MIN_ROWS else "month"
-
-
-def write_partitioned(df: DataFrame, path: str, cluster_keys: list[str],
-                      partition: str = "day", mode: str = "overwrite") -> None:
-    """Write partitioned by ``day`` (or ``month``), clustered by ``cluster_keys``.
-
-    Range partitioning on (day, cluster keys) samples the data, so a day that
-    holds a third of all rows is spread over many tasks and files instead of
-    landing in one; files come out sorted by day and cluster keys for min/max
-    pruning. Dynamic partition overwrite replaces only the folders written.
+    Rebalancing on the day brings a day to one task and splits a day that holds
+    a third of all rows, without a sampling pass over the projection; rows are
+    sorted by the cluster keys inside a file for min/max pruning. ``replace``:
+    the days that are written (dynamic) or the whole table (static), whose tasks
+    move their own files into place.
     """
-    if partition == "month":
-        df = df.withColumn("month", F.date_format("day", "yyyy-MM"))
-    (df.repartitionByRange("day", *cluster_keys)
-       .sortWithinPartitions("day", *cluster_keys)
-       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition).parquet(path))
-
-
-def write_model(load: DataFrame, model_dir: str, run_ts: str | Column,
-                compat_dropoff: bool = False, partition: str | None = None) -> dict[str, str]:
-    """Write the three model tables under ``model_dir``; returns their paths."""
-    partition = partition or choose_partition(load)
-    tables = {
+    writer = (df.hint("rebalance", "day").sortWithinPartitions("day", *cluster_keys)
+              .write.mode("overwrite").option("partitionOverwriteMode", replace))
+    if replace == "static":
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    with all_partitions(df.sparkSession):
+        writer.partitionBy("day").parquet(path)
+
+
+def model_tables(load: DataFrame, run_ts: str | Column | None = None,
+                 compat_dropoff: bool = False) -> dict[str, DataFrame]:
+    """The three model tables as projections of the load table."""
+    return {
         "trips_pickup": pickup_points(load, run_ts),
         "trips_dropdown": dropoff_points(load, run_ts, compat_dropoff),
         "trips_data": trip_data(load, run_ts),
     }
+
+
+#: The time of the load table that gives the day of a model table.
+DAY_SOURCE = {
+    "trips_pickup": "tpep_pickup_datetime",
+    "trips_dropdown": "tpep_dropoff_datetime",
+    "trips_data": "tpep_pickup_datetime",
+}
+#: Columns that must not be null.
+REQUIRED = ("custom_id", "geohash")
+
+
+def write_model(load: DataFrame, model_dir: str, run_ts: str | Column | None = None,
+                compat_dropoff: bool = False) -> dict[str, str]:
+    """Write the three model tables of the whole load table under ``model_dir``;
+    returns their paths. One scan of ``load`` for each table."""
     paths = {}
-    for name, df in tables.items():
+    for name, df in model_tables(load, run_ts, compat_dropoff).items():
         paths[name] = f"{model_dir.rstrip('/')}/{name}"
-        write_partitioned(df, paths[name], MODEL_CLUSTER_KEYS[name], partition)
+        write_days(df, paths[name], MODEL_CLUSTER_KEYS[name], "static")
     return paths
+
+
+def load_days(load: DataFrame) -> DataFrame:
+    """``(pickup_day, dropoff_day)`` pairs of load rows, each once."""
+    day = lambda c: datetimes.day_of(datetimes.parse_datetime(c))
+    return load.select(day("tpep_pickup_datetime").alias("pickup_day"),
+                       day("tpep_dropoff_datetime").alias("dropoff_day")).distinct()
+
+
+def rebuild_days(load: DataFrame, touched: DataFrame, model_dir: str,
+                 run_ts: str | Column | None = None, compat_dropoff: bool = False) -> dict[str, list]:
+    """Rewrite the days of the model tables that ``touched`` (see
+    :func:`load_days`) names from the whole load table, so the days keep the
+    rows of every other part. Returns, by table, the days that end empty."""
+    pairs = touched.collect()  # days, not rows
+    empty = {}
+    for name, table in model_tables(load, run_ts, compat_dropoff).items():
+        source = DAY_SOURCE[name]
+        column = "pickup_day" if source == "tpep_pickup_datetime" else "dropoff_day"
+        days = sorted({r[column] for r in pairs if r[column] is not None})
+        if not days:
+            empty[name] = []
+            continue
+        # As literals the days also prune the load files by their statistics.
+        part = table.where(F.col("day").isin(days))
+        path = f"{model_dir.rstrip('/')}/{name}"
+        write_days(part, path, MODEL_CLUSTER_KEYS[name])
+        present = {r[0] for r in load.select(datetimes.day_of(datetimes.parse_datetime(source)).alias("day"))
+                   .where(F.col("day").isin(days)).distinct().collect()}
+        empty[name] = [d for d in days if d not in present]
+    return empty

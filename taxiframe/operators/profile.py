@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from taxiframe.functions import codes, datetimes, geo, numbers
 from taxiframe.operators import clean
-from taxiframe.operators.quantiles import (exact_quantiles, quantile_bounds, split_points,
-                                           to_long)
+from taxiframe.operators.quantiles import exact_quantiles, quantile_bounds
 from taxiframe.schemas import (CODE_TABLES, COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS,
                                nonzero_amount_columns)
 
@@ -26,13 +25,13 @@ MIN_SECONDS, MAX_SECONDS = 1, 86400
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Raw text as the profile reads it: coordinates as numbers (0 when they do
-    not parse), datetimes (null when bad), codes as labels (null when unknown),
-    amounts as numbers; the flag stays text."""
-    cols = {c: geo.parse_coord(c) for c in COORDINATES}
+    """Raw text as the profile reads it: coordinates and amounts as numbers,
+    datetimes, codes as labels, each null where the text is missing, does not
+    parse, is unknown or not finite; the flag stays text."""
+    cols = {c: geo.finite_coord(c) for c in COORDINATES}
     cols.update({c: datetimes.parse_datetime(c) for c in DATETIMES})
     cols.update({c: codes.lookup(c, table) for c, table in CODE_TABLES.items()})
-    cols.update({c: numbers.parse_number(c) for c in NUMBERS})
+    cols.update({c: numbers.try_number(c) for c in NUMBERS})
     return raw.withColumns(cols)
 
 
@@ -91,15 +90,15 @@ def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM,
     per stage, for full-history runs).
     """
     low, high = probs
-    # Bucket boundaries for all four columns from one sketch pass; they only
-    # balance the work, the quantiles stay exact.
-    splits = split_points(to_long(df, PICKUP + DROPOFF)) if exact else None
-    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high, splits=splits, exact=exact)
-    inside = {c: F.col(c).between(*lon[c]) for c in lon}
-    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, splits=splits, exact=exact,
+    def within(c: str, bounds: tuple) -> Column:
+        return F.lit(False) if None in bounds else F.col(c).between(*bounds)
+
+    lon = quantile_bounds(df, [PICKUP[0], DROPOFF[0]], low, high, exact=exact)
+    inside = {c: within(c, lon[c]) for c in lon}
+    lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, exact=exact,
                           where={PICKUP[1]: inside[PICKUP[0]], DROPOFF[1]: inside[DROPOFF[0]]})
-    keep = (inside[PICKUP[0]] & F.col(PICKUP[1]).between(*lat[PICKUP[1]])
-            & inside[DROPOFF[0]] & F.col(DROPOFF[1]).between(*lat[DROPOFF[1]]))
+    keep = (inside[PICKUP[0]] & within(PICKUP[1], lat[PICKUP[1]])
+            & inside[DROPOFF[0]] & within(DROPOFF[1], lat[DROPOFF[1]]))
     return df.filter(keep)
 
 
@@ -128,7 +127,13 @@ def drop_zero_amounts(df: DataFrame, cols: list[str] | None = None) -> DataFrame
 
 def profile_clean(raw: DataFrame) -> DataFrame:
     """H8: the notebook's chain C7 -> C9 -> C8 -> C10 -> C11."""
-    return (typed(raw).transform(quantile_trim).transform(duration_check)
+    return clean_typed(typed(raw))
+
+
+def clean_typed(df: DataFrame) -> DataFrame:
+    """H8 on the typed view, which is best read from a table: the quantile
+    ranges take several passes over four of its columns."""
+    return (df.transform(quantile_trim).transform(duration_check)
             .transform(drop_unknown_codes).transform(drop_zero_amounts))
 
 

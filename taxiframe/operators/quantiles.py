@@ -1,142 +1,122 @@
-"""Exact quantiles (linear interpolation) without one task holding all values.
+"""Exact quantiles (linear interpolation) by narrowing brackets.
 
 Spark's exact ``percentile`` merges the counts of every distinct value of a
-group into one buffer, which for a global group is one task. Here the values
-are cut into ordered buckets by approximate split points (a bounded sketch),
-each bucket computes running counts on its own, bucket totals (a table of at
-most ``columns x buckets`` rows) give every bucket its rank offset, and the two
-ranks around ``(n - 1) * p`` are looked up by an equi-join on the column name.
+group into one buffer, which for a global group is one task. Here each wanted
+rank has a bracket of values, at first from the minimum to the maximum. One
+pass counts the values of all brackets in ``BINS`` bins (partial sums by task,
+then one small row per bin), and the bin that holds the rank, cut to its own
+minimum and maximum, is the next bracket. The rank is found when its bin has a
+single value. Only bins are shuffled, never values.
 
 Interpolation is ``lo + (hi - lo) * (h - floor(h))`` with ``h = (n - 1) * p``,
-the definition of pandas ``quantile`` and SQL ``quantile_cont``.
+the definition of pandas ``quantile`` and SQL ``quantile_cont``. Nulls, nan and
+infinities are left out; a column without a finite value has no quantile.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from math import floor, isfinite
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+BINS = 1024
 SKETCH_ACCURACY = 10000
-
-
-def to_long(df: DataFrame, cols: list[str],
-            where: dict[str, Column] | None = None) -> DataFrame:
-    """``(name, v)`` rows, one per non-null value of each column (``stack``);
-    ``where[col]`` optionally restricts which rows count for that column."""
-    return _stack(df, cols, where).select("name", "v")
-
-
-def _stack(df: DataFrame, cols: list[str], where: dict[str, Column] | None,
-           bucket_cols: list[str] | None = None) -> DataFrame:
-    where = where or {}
-    tmp = df.withColumns({f"_keep_{i}": (where[c] if c in where else F.lit(True))
-                          for i, c in enumerate(cols)})
-    parts = []
+#: Every round leaves a smaller bracket; doubles allow far fewer.
+MAX_ROUNDS = 400
+
+
+def finite(df: DataFrame, cols: list[str], where: dict[str, Column] | None = None) -> DataFrame:
+    """The columns as doubles, null unless finite and ``where[col]`` holds."""
+    out = []
+    for c in cols:
+        v = F.col(c).cast("double")
+        keep = F.abs(v) < F.lit(float("inf"))
+        if where and c in where:
+            keep = keep & where[c]
+        out.append(F.when(keep, v).alias(c))
+    return df.select(*out)
+
+
+def rank_values(values: DataFrame, wanted: dict[str, set[int]],
+                bounds: dict[str, tuple[float, float]]) -> dict[tuple[str, int], float]:
+    """The value of each wanted 0-based rank of each column."""
+    found: dict[tuple[str, int], float] = {}
+    # By column and rank: rank inside the bracket, and the bracket.
+    open_ranks = {(c, r): (r, *bounds[c]) for c, ranks in wanted.items() for r in ranks}
+    for _ in range(MAX_ROUNDS):
+        for key, (_, low, high) in list(open_ranks.items()):
+            if low == high:
+                found[key] = low
+                del open_ranks[key]
+        if not open_ranks:
+            return found
+        brackets = sorted({(c, low, high) for (c, _), (_, low, high) in open_ranks.items()})
+        binned = []
+        for i, (c, low, high) in enumerate(brackets):
+            v = F.col(c)
+            part = 1.0 if isfinite(high - low) else 2.0  # the width has to be finite
+            share = (v / part - low / part) / (high / part - low / part)
+            place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+            binned.append(F.when(v.between(low, high), F.struct(
+                F.lit(i).alias("bracket"), place.alias("bin"), v.alias("v"))))
+        rows = (values.select(F.explode(F.filter(F.array(*binned), lambda x: x.isNotNull())).alias("b"))
+                .groupBy("b.bracket", "b.bin")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("b.v").alias("low"), F.max("b.v").alias("high"))
+                .collect())  # bins, not values
+        by_bracket: dict[int, list] = {}
+        for r in sorted(rows, key=lambda r: (r["bracket"], r["bin"])):
+            by_bracket.setdefault(r["bracket"], []).append(r)
+        for key, (rank, low, high) in open_ranks.items():
+            for r in by_bracket[brackets.index((key[0], low, high))]:
+                if rank < r["n"]:
+                    open_ranks[key] = (rank, r["low"], r["high"])
+                    break
+                rank -= r["n"]
+    raise RuntimeError("the brackets did not close")
+
+
+def quantiles(df: DataFrame, cols: list[str], probs: list[float],
+              where: dict[str, Column] | None = None) -> dict[tuple[str, float], float | None]:
+    """``{(col, p): value}``; None for a column without a finite value."""
+    values = finite(df, cols, where)
+    totals = values.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(cols)
+                          for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
+    wanted, bounds, steps = {}, {}, {}
     for i, c in enumerate(cols):
-        parts += [f"'{c}'", f"CAST(`{c}` AS DOUBLE)", f"`_keep_{i}`"]
-        if bucket_cols:
-            parts.append(f"CAST(`{bucket_cols[i]}` AS INT)")
-    names = "name, v, keep" + (", bucket" if bucket_cols else "")
-    return (tmp.selectExpr(f"stack({len(cols)}, {', '.join(parts)}) AS ({names})")
-            .filter(F.col("keep") & F.col("v").isNotNull()).drop("keep"))
-
-
-def split_points(long: DataFrame, buckets: int = DEFAULT_BUCKETS) -> dict[str, list[float]]:
-    """Approximate equi-depth split points per column (``buckets - 1`` each).
-
-    Only these ``columns x buckets`` numbers reach the driver; the sketch that
-    makes them is merged partially per task, so memory stays bounded.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    rows = (long.groupBy("name")
-            .agg(F.percentile_approx("v", probs, SKETCH_ACCURACY).alias("b"))
-            .collect())
-    return {r["name"]: sorted({float(x) for x in r["b"] if x == x}) for r in rows}
-
-
-def bucketed_long(df: DataFrame, cols: list[str], where: dict[str, Column] | None = None,
-                  buckets: int = DEFAULT_BUCKETS,
-                  splits: dict[str, list[float]] | None = None) -> DataFrame:
-    """``(name, v, bucket)``: values cut at their column's approximate split
-    points by ``Bucketizer`` (a JVM-side binary search per value). Split
-    points only balance the buckets; any points (e.g. computed once for a
-    wider set of rows) give the same exact result."""
-    from pyspark.ml.feature import Bucketizer
-
-    if splits is None:
-        splits = split_points(to_long(df, cols, where), buckets)
-    inf = float("inf")
-    arrays = [[-inf] + splits.get(c, []) + [inf] for c in cols]
-    tmp_in = [f"_bv_{i}" for i in range(len(cols))]
-    tmp_out = [f"_bk_{i}" for i in range(len(cols))]
-    wide = df.withColumns({t: F.col(c).cast("double") for t, c in zip(tmp_in, cols)})
-    wide = Bucketizer(splitsArray=arrays, inputCols=tmp_in, outputCols=tmp_out,
-                      handleInvalid="keep").transform(wide)
-    return _stack(wide, cols, where, tmp_out)
-
-
-def ranked_values(bucketed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their rank interval ``(name, v, start, end)``
-    (ranks ``start .. end - 1``, 0-based, hold ``v``) and the row count per
-    column ``(name, total)``."""
-    vc = bucketed.groupBy("name", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
-    # Running count inside each bucket: one bucket is one window partition.
-    within = Window.partitionBy("name", "bucket").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = vc.withColumn("cum", F.sum("n").over(within))
-    # Bucket totals -> offsets (a small table: names x buckets rows).
-    totals = vc.groupBy("name", "bucket").agg(F.sum("n").alias("cnt"))
-    before = Window.partitionBy("name").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("offset", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
-    ranked = local.join(F.broadcast(offsets.select("name", "bucket", "offset")),
-                        ["name", "bucket"])
-    end = F.col("offset") + F.col("cum")
-    ranked = ranked.select("name", "v", (end - F.col("n")).alias("start"), end.alias("end"))
-    return ranked, totals.groupBy("name").agg(F.sum("cnt").alias("total"))
+        n = totals[f"n_{i}"]
+        if n:
+            bounds[c] = (totals[f"low_{i}"], totals[f"high_{i}"])
+            steps[c] = [(p, (n - 1) * p) for p in probs]
+            wanted[c] = {min(n - 1, floor(h) + j) for _, h in steps[c] for j in (0, 1)}
+    found = rank_values(values, wanted, bounds)
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
+    for c, ranks in steps.items():
+        for p, h in ranks:
+            low = found[c, floor(h)]
+            part = h - floor(h)
+            out[c, p] = low if part == 0 else low + (found[c, floor(h) + 1] - low) * part
+    return out
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    where: dict[str, Column] | None = None,
-                    buckets: int = DEFAULT_BUCKETS,
-                    splits: dict[str, list[float]] | None = None) -> DataFrame:
-    """``(name, p, value)`` for each column of ``df`` and each ``p``."""
-    ranked, totals = ranked_values(bucketed_long(df, cols, where, buckets, splits))
-    targets = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .withColumn("h", (F.col("total") - 1).cast("double") * F.col("p"))
-               .withColumn("lo", F.floor("h").cast("bigint"))
-               .withColumn("hi", F.ceil("h").cast("bigint")))
-    # One pass: each distinct value meets the (few) targets of its column and
-    # answers for the lower and/or the upper rank it covers.
-    holds = lambda r: (F.col("start") <= F.col(r)) & (F.col(r) < F.col("end"))
-    hits = (ranked.join(F.broadcast(targets), "name").filter(holds("lo") | holds("hi"))
-            .groupBy("name", "p", "h")
-            .agg(F.max(F.when(holds("lo"), F.col("v"))).alias("v_lo"),
-                 F.max(F.when(holds("hi"), F.col("v"))).alias("v_hi")))
-    frac = F.col("h") - F.floor("h")
-    value = F.when(frac == 0, F.col("v_lo")).otherwise(
-        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac)
-    return hits.select("name", "p", value.alias("value"))
+                    where: dict[str, Column] | None = None) -> DataFrame:
+    """``(name, p, value)`` for each column of ``df`` and each ``p``; no row for
+    a column without a finite value."""
+    rows = [(c, float(p), v) for (c, p), v in quantiles(df, cols, probs, where).items() if v is not None]
+    return df.sparkSession.createDataFrame(rows, "name string, p double, value double")
 
 
 def quantile_bounds(df: DataFrame, cols: list[str], low: float, high: float,
                     where: dict[str, Column] | None = None,
-                    buckets: int = DEFAULT_BUCKETS,
-                    splits: dict[str, list[float]] | None = None,
-                    exact: bool = True) -> dict[str, tuple[float, float]]:
+                    exact: bool = True) -> dict[str, tuple[float | None, float | None]]:
     """``{col: (q_low, q_high)}``: 2 numbers per column reach the driver, so
     the filters that use them are literals Parquet can push down. With
     ``exact=False`` a bounded ``percentile_approx`` sketch gives the bounds in
     one pass (rank error about 1 / SKETCH_ACCURACY)."""
     if not exact:
-        long = to_long(df, cols, where)
-        rows = (long.groupBy("name")
-                .agg(F.percentile_approx("v", [low, high], SKETCH_ACCURACY).alias("q"))
-                .collect())
-        return {r["name"]: (r["q"][0], r["q"][1]) for r in rows}
-    rows = exact_quantiles(df, cols, [low, high], where, buckets, splits).collect()
-    out: dict[str, list] = {c: [None, None] for c in cols}
-    for r in rows:
-        out[r["name"]][0 if r["p"] == low else 1] = r["value"]
-    return {c: (v[0], v[1]) for c, v in out.items()}
+        row = finite(df, cols, where).agg(*[
+            F.percentile_approx(c, [low, high], SKETCH_ACCURACY).alias(c) for c in cols]).first()
+        return {c: tuple(row[c]) if row[c] else (None, None) for c in cols}
+    found = quantiles(df, cols, [low, high], where)
+    return {c: (found[c, low], found[c, high]) for c in cols}

@@ -15,14 +15,17 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from taxiframe.operators import model
+from taxiframe.operators import model, profile
 from taxiframe.plans import trips
+from taxiframe.schemas import RAW_COLUMNS
 from taxiframe.session import shared_dir
-from taxiframe.sources.derived import _landing_key, publish
+from taxiframe.sources.derived import _landing_key, publish, raw_trips
 
 TABLES = ("trips_pickup", "trips_dropdown", "trips_data")
 
@@ -56,7 +59,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts: str = trips.RUN_TS) -> str:
     load = spark.read.parquet(f"{tmp}/load")
     model.write_model(load, tmp, run_ts)
     fs.create(_jpath(spark, tmp + "/_BUILT")).close()
-    publish(spark, tmp, final)
+    publish(spark, tmp, final, "_BUILT")
     return final
 
 
@@ -64,3 +67,40 @@ def table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = trips.RUN_T
     """One warehouse table (``load``, ``trips_pickup``, ``trips_dropdown``,
     ``trips_data``) as a DataFrame over its Parquet files."""
     return spark.read.parquet(f"{build(spark, sf_dir, run_ts)}/{name}")
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Folder of a table derived from ``sf_dir`` that ``write(path)`` makes; it
+    is built once per input and code version, so repeated queries leave no
+    further copies."""
+    ident = f"{_landing_key(spark, sf_dir)}|{name}|{code_version()}"
+    final = f"{shared_dir(spark).rstrip('/')}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
+    fs = _jpath(spark, final).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(_jpath(spark, final + "/_BUILT")):
+        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+        write(tmp)
+        fs.create(_jpath(spark, tmp + "/_BUILT")).close()
+        publish(spark, tmp, final, "_BUILT")
+    return final
+
+
+def raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """The trip lines as tab-separated text, one folder per raw file
+    (``source_file=<name>``) and one file in it."""
+    def write(path: str) -> None:
+        lines = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS])
+        (raw_trips(spark, sf_dir).select("source_file", lines.alias("value"))
+         .repartition("source_file").sortWithinPartitions("source_file")
+         # Many small files in a folder that is published as a whole: tasks may
+         # move their own files.
+         .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+         .partitionBy("source_file").text(path))
+
+    return once(spark, sf_dir, "raw-files", write)
+
+
+def typed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed view of the raw trips (``profile.typed``) as a table."""
+    path = once(spark, sf_dir, "typed", lambda path: profile.typed(
+        raw_trips(spark, sf_dir).drop("source_file")).write.parquet(path))
+    return spark.read.parquet(path)

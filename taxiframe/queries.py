@@ -2,7 +2,7 @@
 sf_dir) -> DataFrame`` over the trips derived from the folder's ``lineitem``.
 
 Outputs use engine-neutral types: timestamps as TIMESTAMP_NTZ (UTC wall
-clock), the ``amount_details`` struct flattened, no partition column.
+clock), the ``amount_details`` struct flattened.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from taxiframe.functions import codes, datetimes, geo, numbers
 from taxiframe.operators import analytics, clean, model, profile
 from taxiframe.plans import trips, warehouse
 from taxiframe.schemas import COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS
-from taxiframe.session import scratch_path
 from taxiframe.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,7 +119,7 @@ def geohash7(spark, sf_dir):
 @query
 def trip_minutes(spark, sf_dir):
     """Whole minutes of every trip of the data table."""
-    return model.trip_data(_wh(spark, sf_dir, "load"), trips.RUN_TS).select("custom_id", "trip_minutes")
+    return _wh(spark, sf_dir, "trips_data").select("custom_id", "trip_minutes")
 
 
 @query
@@ -175,24 +174,24 @@ def stage_trips(spark, sf_dir):
 
 
 # --- model tables, joins, aggregates --------------------------------------------
-# The model tables are projections of the load table (``tripdata_tmp``); the
-# analytical queries read the model tables. Both come from the warehouse that
-# is built once per input by the real load path (see ``plans.warehouse``).
+# All read the tables of the warehouse that is built once per input by the real
+# load path (see ``plans.warehouse``). The compatibility variant of the dropoff
+# table is projected from the load table.
 
 def _points_out(df: DataFrame) -> DataFrame:
-    return _ntz(df.drop("day"), "timestmp", "created_at")
+    return _ntz(df, "timestmp", "created_at")
 
 
 @query
 def model_pickup(spark, sf_dir):
-    """``trips_pickup``."""
-    return _points_out(model.pickup_points(_wh(spark, sf_dir, "load"), trips.RUN_TS))
+    """``trips_pickup`` as stored, with its partition day."""
+    return _points_out(_wh(spark, sf_dir, "trips_pickup"))
 
 
 @query
 def model_dropoff(spark, sf_dir):
     """A16 with the dropoff point."""
-    return _points_out(model.dropoff_points(_wh(spark, sf_dir, "load"), trips.RUN_TS))
+    return _points_out(_wh(spark, sf_dir, "trips_dropdown"))
 
 
 @query
@@ -203,14 +202,14 @@ def model_dropdown_compat(spark, sf_dir):
 
 def _data_out(df: DataFrame) -> DataFrame:
     flat = df.select("*", *[F.col(f"amount_details.{n}").alias(n)
-                            for n, _ in model.AMOUNT_FIELDS]).drop("amount_details", "day")
+                            for n, _ in model.AMOUNT_FIELDS]).drop("amount_details")
     return _ntz(flat, "pickup_timestmp", "dropoff_timestmp", "created_at")
 
 
 @query
 def model_data(spark, sf_dir):
     """``trips_data`` (amount struct flattened)."""
-    return _data_out(model.trip_data(_wh(spark, sf_dir, "load"), trips.RUN_TS))
+    return _data_out(_wh(spark, sf_dir, "trips_data"))
 
 
 def _wh(spark, sf_dir, name: str) -> DataFrame:
@@ -266,7 +265,7 @@ def top10_pickup_zones(spark, sf_dir):
 # --- data-quality profile ----------------------------------------------------------
 
 def _typed(spark, sf_dir) -> DataFrame:
-    return profile.typed(trips.raw(spark, sf_dir).drop("source_file"))
+    return warehouse.typed_trips(spark, sf_dir)
 
 
 def _typed_out(df: DataFrame) -> DataFrame:
@@ -313,7 +312,7 @@ def drop_zero_amounts(spark, sf_dir):
 @query
 def profile_clean(spark, sf_dir):
     """H8: the whole profile chain C7 -> C9 -> C8 -> C10 -> C11."""
-    return _typed_out(profile.profile_clean(trips.raw(spark, sf_dir).drop("source_file")))
+    return _typed_out(profile.clean_typed(_typed(spark, sf_dir)))
 
 
 @query
@@ -349,75 +348,116 @@ MANIFEST_MONTH = "1996"
 BASE_GLOB = "*.csv.zip"
 
 
-def _line_length() -> F.Column:
-    """Characters of a trip line: 19 tab-separated fields and a newline."""
-    return F.length(F.concat_ws("\t", *RAW_COLUMNS)) + 1
+def _raw_lines(spark, sf_dir, globs: list[str] | None = None) -> DataFrame:
+    """Trip lines of the raw files that match the globs, with ``source_file``.
+    The globs select folders, so other files are not opened."""
+    root = warehouse.raw_files(spark, sf_dir)
+    paths = [f"{root}/source_file={g}" for g in globs or ["*"]]
+    return files.read_raw(spark, paths, base_path=root)
 
 
 def _files(spark, sf_dir) -> DataFrame:
-    """One row per raw file: base name and size in characters."""
-    raw = trips.raw(spark, sf_dir)
-    return raw.groupBy(F.col("source_file").alias("file_name")).agg(
-        F.sum(_line_length()).cast("bigint").alias("length"))
+    """One row per raw file, from the listing: name and size in bytes."""
+    listing = files.list_files(spark, f"{warehouse.raw_files(spark, sf_dir)}/source_file=*/*.txt")
+    name = F.regexp_extract("path", r"/source_file=([^/]+)/[^/]*$", 1)
+    return listing.groupBy(name.alias("file_name")).agg(F.sum("length").alias("length"))
 
 
 @query
 def select_months(spark, sf_dir):
     """A1 / A2: the trip lines of the files matched by the month globs."""
-    raw = trips.raw(spark, sf_dir)
-    globs = files.month_patterns(BASE_GLOB, MONTHS)
-    return raw.filter(files.matches_any(F.col("source_file"), globs))
+    return _raw_lines(spark, sf_dir, files.month_patterns(BASE_GLOB, MONTHS))
 
 
 @query
 def file_manifest(spark, sf_dir):
-    """Zipped files of the month with their derived locations."""
+    """Zipped files of the month with their derived locations."""
     return files.file_manifest(_files(spark, sf_dir), MANIFEST_MONTH, root="/data")
 
 
+@query
+def file_count(spark, sf_dir):
+    """Number of zipped files of the month."""
+    return files.file_manifest(_files(spark, sf_dir), MANIFEST_MONTH).agg(F.count(F.lit(1)).alias("n_files"))
+
+
 @query
 def new_files(spark, sf_dir):
     """Files whose (name, size) is not loaded yet; parts with an even
-    number count as already loaded."""
+    number count as already loaded, one of them with another size."""
     man = files.file_manifest(_files(spark, sf_dir))
-    loaded = man.filter(F.col("part").cast("int") % 2 == 0)
+    loaded = man.filter(F.col("part").cast("int") % 2 == 0).withColumn(
+        "length", F.when(F.col("part") == "04", F.col("length") - 1).otherwise(F.col("length")))
     return files.new_files(man, loaded).select("file_name", "length", "month", "part")
 
 
 @query
 def read_raw(spark, sf_dir):
-    """A3 / A4: trip lines written as tab-separated text and read back."""
-    path = scratch_path(spark, "raw-text")
-    files.write_raw(trips.raw(spark, sf_dir).select(*RAW_COLUMNS), path)
-    return files.read_raw(spark, path)
+    """A3 / A4: the trip lines of all raw files."""
+    return _raw_lines(spark, sf_dir).select(*RAW_COLUMNS)
+
+
+def staged_table(spark, sf_dir) -> str:
+    """Folder of the one-pass staging write (staged and quarantined rows)."""
+    return warehouse.once(spark, sf_dir, "staged", lambda path: sinks.write_stage(
+        trips.raw(spark, sf_dir), path, extra=["source_file"]))
+
+
+def _staged_parts(spark, sf_dir) -> DataFrame:
+    """Staged trips with the ``source_part`` that the load is keyed by."""
+    staged = sinks.read_staged(spark, staged_table(spark, sf_dir), extra=["source_file"])
+    return staged.withColumn("source_part", F.regexp_replace("source_file", r"\.csv\.zip$", "")).drop("source_file")
 
 
 @query
 def read_staged(spark, sf_dir):
     """One-pass staging write (staged + quarantined), staged read back."""
-    path = scratch_path(spark, "staged")
-    sinks.write_stage(trips.raw(spark, sf_dir), path)
-    return sinks.read_staged(spark, path)
+    return sinks.read_staged(spark, staged_table(spark, sf_dir))
 
 
 @query
 def append_tmp(spark, sf_dir):
     """Staged parts appended to the load table, then the even parts
     loaded again; the rerun replaces them instead of doubling them."""
-    stage_path, load_path = scratch_path(spark, "staged"), scratch_path(spark, "load")
-    sinks.write_stage(trips.raw(spark, sf_dir), stage_path, extra=["source_file"])
-    staged = sinks.read_staged(spark, stage_path, extra=["source_file"]).withColumn(
-        "source_part", F.regexp_replace("source_file", r"\.csv\.zip$", "")).drop("source_file")
-    sinks.append_load(staged, load_path)
-    rerun = staged.filter(F.substring("source_part", -2, 2).cast("int") % 2 == 0)
-    sinks.append_load(rerun, load_path)
-    return spark.read.parquet(load_path).drop("source_part")
+    staged = _staged_parts(spark, sf_dir)
+
+    def write(path: str) -> None:
+        sinks.append_load(staged, path)
+        sinks.append_load(staged.filter(F.substring("source_part", -2, 2).cast("int") % 2 == 0), path)
+
+    return spark.read.parquet(warehouse.once(spark, sf_dir, "appended", write)).drop("source_part")
+
+
+#: Parts of every month that the incremental load takes, in this order; the
+#: first load of part 01 has wrong pickup times.
+LOADS = (["00", "01"], ["01"], ["00"])
+
+
+@query
+def model_incremental(spark, sf_dir):
+    """``trips_pickup`` after several loads of some parts, one
+    of which corrects an earlier one and moves its rows to other days."""
+    staged = _staged_parts(spark, sf_dir)
+    part = F.regexp_extract("source_part", r"_([0-9]+)$", 1)
+    first = (part == "01")
+    later = F.date_format(F.to_timestamp("tpep_pickup_datetime") - F.expr("INTERVAL 2 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    wrong = staged.withColumn("tpep_pickup_datetime", F.when(first, later).otherwise(F.col("tpep_pickup_datetime")))
+
+    def write(path: str) -> None:
+        sinks.create_tables(spark, f"{path}/load", path)
+        for i, numbers_ in enumerate(LOADS):
+            rows = (staged if i else wrong).where(part.isin(numbers_))
+            names = [r[0] for r in rows.select("source_part").distinct().collect()]  # files, not rows
+            sinks.load_parts(rows, f"{path}/load", path, names, trips.RUN_TS)
+        sinks.check_required(path, spark)
+
+    path = warehouse.once(spark, sf_dir, "incremental", write)
+    return _points_out(spark.read.parquet(f"{path}/trips_pickup"))
 
 
 @query
 def extract_raw(spark, sf_dir):
     """H6 (older job): month files -> any datetime/coordinate present -> some
     coordinate away from 0; all text."""
-    raw = trips.raw(spark, sf_dir)
-    picked = raw.filter(files.matches_any(F.col("source_file"), files.month_patterns(BASE_GLOB, MONTHS)))
+    picked = _raw_lines(spark, sf_dir, files.month_patterns(BASE_GLOB, MONTHS))
     return clean.any_coord_nonzero(clean.any_not_null(picked)).select(*RAW_COLUMNS)

@@ -8,8 +8,12 @@ default): all parsing goes through ``try_*`` functions instead.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,8 +28,14 @@ SESSION_DEFAULTS = {
     # ``amount_details.tip`` reads a single leaf column.
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM interprets methods above this size: a larger stage runs as
+    # generated projections, whose methods are split and compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A re-run of a load replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A write into a few folders keeps their files open side by side instead
+    # of sorting wide rows by the folder; beyond that number it sorts.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -36,6 +46,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def all_partitions(spark: SparkSession) -> Iterator[None]:
+    """For a write by folders after a rebalance: the number of files doesn't
+    depend on the number of tasks, so small partitions are not merged (large
+    ones are still split)."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as
+    ``--py-files`` would: they need not find it on their own path."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("application") == sc.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="taxiframe-code-"), "taxiframe.zip")
+    with zipfile.ZipFile(archive, "w") as zf:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                zf.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED["application"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "taxiframe") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
@@ -58,9 +102,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (a
-    local test session) a fresh folder is made and registered, so that jobs
-    never write to a machine-local folder on a real cluster.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a local
+    session (all tasks in this process) gets a fresh folder; any other session
+    is refused, as its executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +113,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="taxiframe-ckpt-")
     sc.setCheckpointDir(path)
     # The context suffixes the folder with a uuid; use what it holds.

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxiframe.schemas import RAW_COLUMNS, SOURCE_NAME
+from taxiframe.schemas import COORDINATES, DATETIMES, RAW_COLUMNS, SOURCE_NAME
 from taxiframe.session import shared_dir
 
 
@@ -54,18 +55,33 @@ def _shift_text(seconds: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    Parsing a trip is CPU-heavy per row, and a small Parquet file gives one
-    split per row group (3 at sf0.1), which would leave most cores idle. The
-    shuffle only happens when the input is small enough to have few splits; a
-    large input already has at least one split per core and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+#: Dirty lines: every ``mod``-th trip has ``text`` in the columns named (null:
+#: no field at all). The first entry that applies to a column wins.
+DIRTY = [
+    (401, None, "header"),
+    (457, None, [*COORDINATES, *DATETIMES]),
+    (409, "nan", ["pickup_longitude"]),
+    (419, "-inf", ["dropoff_latitude"]),
+    (421, "200.5", ["pickup_longitude"]),
+    (433, "0", ["dropoff_longitude", "dropoff_latitude"]),
+    (431, "1.5", ["passenger_count"]),
+    (443, None, ["passenger_count", "tip_amount"]),
+    (439, "15300000.0", ["trip_distance"]),
+    (449, None, ["trip_distance"]),
+    (461, "1e7", ["extra"]),
+    (463, "0.00005", ["extra"]),
+    (479, "10000000.5", ["extra"]),
+]
+
+
+def dirty(name: str, k: Column, text: Column) -> Column:
+    """The text of a column, or what a dirty line has there."""
+    out = None
+    for mod, value, columns in DIRTY:
+        if columns == "header" or name in columns:
+            value = F.lit(name if columns == "header" else value).cast("string")
+            out = F.when(k % mod == 0, value) if out is None else out.when(k % mod == 0, value)
+    return text if out is None else out.otherwise(text)
 
 
 def derive_raw_trips(lineitem: DataFrame, with_source: bool = True) -> DataFrame:
@@ -98,7 +114,7 @@ def derive_raw_trips(lineitem: DataFrame, with_source: bool = True) -> DataFrame
         "improvement_surcharge": F.lit("0.3"),
         "total_amount": _cents(330 + (k * 31) % 9000 + (k * 17) % 1200),
     }
-    out = [cols[c].alias(c) for c in RAW_COLUMNS]
+    out = [dirty(c, k, cols[c]).alias(c) for c in RAW_COLUMNS]
     if with_source:
         out.append(F.concat(
             F.lit(SOURCE_NAME + "_"), F.date_format("l_shipdate", "yyyy-MM"), F.lit("_"),
@@ -110,26 +126,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _rules_version() -> str:
+    """Hash of this module, whose rules make the lines."""
+    with open(__file__, "rb") as code:
+        return hashlib.sha1(code.read()).hexdigest()[:12]
+
+
 def _landing_key(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the derived landing table: folder + size/mtime of lineitem."""
+    """Identity of the derived landing table: folder, size and time of
+    lineitem, and the rules."""
     path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
     st = fs.getFileStatus(jpath)
     size = fs.getContentSummary(jpath).getLength()
-    ident = f"{fs.makeQualified(jpath).toString()}|{size}|{st.getModificationTime()}|v1"
+    ident = f"{fs.makeQualified(jpath).toString()}|{size}|{st.getModificationTime()}|{_rules_version()}"
     return hashlib.sha1(ident.encode()).hexdigest()[:16]
 
 
-def publish(spark: SparkSession, tmp: str, final: str) -> None:
-    """Move a finished folder into place. If another run published first, its
-    copy wins and ours is dropped (renaming onto an existing folder would nest
-    ours inside it on HDFS-like file systems)."""
-    jvm = spark._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(final)
+def publish(spark: SparkSession, tmp: str, final: str, marker: str = "_SUCCESS") -> None:
+    """Move a finished folder into place. A complete copy (one that has the
+    marker file) that another run published first wins and ours is dropped; a
+    folder without the marker is what a broken run left, and is replaced."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst, done = path(tmp), path(final), path(f"{final}/{marker}")
     fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(dst) or not fs.rename(src, dst):
-        fs.delete(src, True)
+    if not fs.exists(done):
+        fs.delete(dst, True)
+        fs.rename(src, dst)
+    if not fs.exists(done):
+        raise OSError(f"{tmp} could not be moved to {final}; the finished copy stays there")
+    fs.delete(src, True)
+    # A rename onto a folder that appeared meanwhile nests ours inside it.
+    fs.delete(path(f"{final}/{src.getName()}"), True)
+
+
+def landing_parts(lineitem: DataFrame) -> int:
+    """Files of the landing table: one per split of the scan, and a core each."""
+    return max(lineitem.rdd.getNumPartitions(), lineitem.sparkSession.sparkContext.defaultParallelism)
 
 
 def landing_table(spark: SparkSession, sf_dir: str) -> str:
@@ -148,7 +183,9 @@ def landing_table(spark: SparkSession, sf_dir: str) -> str:
     fs = jfinal.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        derived = derive_raw_trips(spread_small_input(read_table(spark, sf_dir, "lineitem")))
+        lineitem = read_table(spark, sf_dir, "lineitem")
+        # The derived input is dealt out in parts of even size for its readers.
+        derived = derive_raw_trips(lineitem.repartition(landing_parts(lineitem)))
         derived.write.mode("overwrite").parquet(tmp)
         publish(spark, tmp, final)
     return final

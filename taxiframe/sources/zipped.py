@@ -1,18 +1,20 @@
 """Zipped trip files: unzip to text lines as a Spark job, archive inventory.
 
-A zip archive is not splittable, so each archive is opened by one task
-(``mapInPandas`` over the file listing, one archive per partition) and its
-single member is streamed line by line in batches; an archive is never held
-in memory as one value. The listing selects only metadata, so Spark reads no
-file contents itself. A bad archive yields one error row, not a failed job.
-Lines and errors come out of the same pass and are written once, partitioned
-by ``kind``.
+A zip archive is not splittable, so an archive is opened by one task
+(``mapInPandas`` over the file listing; archives are hashed to ``SPREAD`` times
+as many tasks, so few share one) and its members are streamed line by line in
+batches; an archive is never held in memory as one value. It is read through
+once before its first line is emitted, so a broken archive yields one error
+row and no line, and the job goes on. Lines and errors are written once, by
+kind and by archive.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -40,11 +42,21 @@ def list_archives(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", "length")
 
 
-def _one_per_task(listing: DataFrame) -> DataFrame:
-    n = max(1, listing.rdd.getNumPartitions())
-    # Hash on the path: each archive lands in exactly one task.
-    return listing.repartition(max(n, listing.sparkSession.sparkContext.defaultParallelism),
-                               "path")
+#: Tasks per archive.
+SPREAD = 4
+#: What a broken archive or text raises.
+BROKEN = (zipfile.BadZipFile, zlib.error, OSError, UnicodeDecodeError, EOFError, NotImplementedError, RuntimeError)
+
+
+def _spread(listing: DataFrame) -> DataFrame:
+    return listing.repartition(max(1, SPREAD * listing.count()), "path")
+
+
+def _members(zf: zipfile.ZipFile) -> Iterator[tuple[str, int, str]]:
+    for entry in zf.namelist():
+        with zf.open(entry) as member:
+            for no, raw in enumerate(io.TextIOWrapper(member, encoding="utf-8", newline=""), 1):
+                yield entry, no, raw.rstrip("\r\n")
 
 
 def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,20 +64,16 @@ def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for uri in pdf["path"]:
             try:
                 with _open(uri) as fh, zipfile.ZipFile(fh) as zf:
-                    for entry in zf.namelist():
-                        rows, no = [], 0
-                        with zf.open(entry) as member:
-                            for raw in io.TextIOWrapper(member, encoding="utf-8", newline=""):
-                                no += 1
-                                rows.append((uri, entry, no, raw.rstrip("\r\n"), None))
-                                if len(rows) >= BATCH_LINES:
-                                    yield pd.DataFrame(rows, columns=LINES_SCHEMA_COLS)
-                                    rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=LINES_SCHEMA_COLS)
-            except (zipfile.BadZipFile, OSError, UnicodeDecodeError, EOFError) as exc:
+                    for _ in _members(zf):  # checks lengths, checksums and the encoding
+                        pass
+            except BROKEN as exc:
                 yield pd.DataFrame([(uri, None, None, None, f"{type(exc).__name__}: {exc}")],
                                    columns=LINES_SCHEMA_COLS)
+                continue
+            with _open(uri) as fh, zipfile.ZipFile(fh) as zf:
+                lines = ((uri, *line, None) for line in _members(zf))
+                while rows := list(itertools.islice(lines, BATCH_LINES)):
+                    yield pd.DataFrame(rows, columns=LINES_SCHEMA_COLS)
 
 
 LINES_SCHEMA_COLS = ["archive", "entry", "line_no", "line", "error"]
@@ -74,19 +82,21 @@ LINES_SCHEMA_COLS = ["archive", "entry", "line_no", "line", "error"]
 def unzip_lines(spark: SparkSession, glob: str) -> DataFrame:
     """A5: one row per text line of every archive, or one error row per bad
     archive (``line`` null, ``error`` set)."""
-    return _one_per_task(list_archives(spark, glob)).mapInPandas(_unzip, LINES_SCHEMA)
+    return _spread(list_archives(spark, glob)).mapInPandas(_unzip, LINES_SCHEMA)
 
 
 def unzip_to_text(spark: SparkSession, glob: str, out: str) -> dict[str, str]:
     """Unzip every archive under ``glob`` into ``out`` in one job:
-    ``out/kind=line`` holds the raw lines (readable by the trip reader) and
+    ``out/kind=line/file=<archive name without .zip>`` holds the raw lines
+    (readable by the trip reader, also by month globs on ``file=``) and
     ``out/kind=error`` one ``archive<TAB>error`` line per failed archive."""
     res = unzip_lines(spark, glob)
     value = F.when(F.col("error").isNull(), F.col("line")).otherwise(
         F.concat_ws("\t", "archive", "error"))
     kind = F.when(F.col("error").isNull(), F.lit("line")).otherwise(F.lit("error"))
-    res.select(kind.alias("kind"), value.alias("value")).write.mode("overwrite") \
-        .partitionBy("kind").text(out)
+    name = F.regexp_replace(F.regexp_extract("archive", r"([^/]+)$", 1), r"\.zip$", "")
+    (res.select(kind.alias("kind"), name.alias("file"), value.alias("value")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("kind", "file").text(out))
     return {"lines": f"{out}/kind=line", "errors": f"{out}/kind=error"}
 
 
@@ -97,11 +107,11 @@ def _inventory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with _open(uri) as fh, zipfile.ZipFile(fh) as zf:
                     rows.append((uri, len(zf.namelist()), None))
-            except (zipfile.BadZipFile, OSError, EOFError) as exc:
+            except BROKEN as exc:
                 rows.append((uri, None, f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(rows, columns=["archive", "n_entries", "error"])
 
 
 def archive_inventory(spark: SparkSession, glob: str) -> DataFrame:
     """Number of entries per archive (reads only the zip directory)."""
-    return _one_per_task(list_archives(spark, glob)).mapInPandas(_inventory, INVENTORY_SCHEMA)
+    return _spread(list_archives(spark, glob)).mapInPandas(_inventory, INVENTORY_SCHEMA)

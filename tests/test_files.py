@@ -1,5 +1,6 @@
 """File layer: edge lines through the real reader, globs, manifest, zip, stream."""
 import os
+import random
 import zipfile
 
 from pyspark.sql import functions as F
@@ -107,6 +108,40 @@ def test_unzip_to_text_with_bad_archive(spark, tmp):
                    "yellow_tripdata_2015-04_01.csv.zip": 1, "x.csv.zip": None}
 
 
+def test_broken_archives_give_no_lines(spark, tmp):
+    """An archive that breaks after many lines gives one error row only."""
+    os.makedirs(f"{tmp}/zips")
+    rnd = random.Random(1)
+    lines = [f"{rnd.random()}\t{i}" for i in range(100_000)]
+    make_zip(f"{tmp}/zips/yellow_tripdata_2015-04_00.csv.zip", "a.csv", lines)
+    whole = open(f"{tmp}/zips/yellow_tripdata_2015-04_00.csv.zip", "rb").read()
+    for i, at in enumerate((len(whole) // 2, len(whole) * 3 // 4, len(whole) - 400)):
+        broken = bytearray(whole)
+        broken[at:at + 40] = bytes(40)
+        with open(f"{tmp}/zips/yellow_tripdata_2015-05_0{i}.csv.zip", "wb") as fh:
+            fh.write(broken)
+    out = zipped.unzip_to_text(spark, f"{tmp}/zips/*.csv.zip", f"{tmp}/unzipped")
+    assert spark.read.text(f"{out['lines']}/file=yellow_tripdata_2015-04_*").count() == 100_000
+    assert spark.read.text(out["lines"]).count() == 100_000
+    assert spark.read.text(out["errors"]).count() == 3
+
+
+def test_restaging_replaces_both_sides(spark, tmp):
+    write_text(f"{tmp}/raw/p0.csv", edge_lines())
+    sinks.write_stage(files.read_raw(spark, f"{tmp}/raw"), f"{tmp}/staged")
+    write_text(f"{tmp}/raw/p0.csv", [line(GOOD)] * 2)
+    spark.catalog.clearCache()
+    sinks.write_stage(files.read_raw(spark, f"{tmp}/raw"), f"{tmp}/staged")
+    assert spark.read.parquet(f"{tmp}/staged").groupBy("status").count().collect() == [("staged", 2)]
+
+
+def test_part_that_ends_empty_is_removed(spark, tmp):
+    st = spark.createDataFrame([("a", "p1"), ("b", "p1"), ("c", "p2")], "id string, source_part string")
+    sinks.append_load(st, f"{tmp}/load")
+    sinks.append_load(st.where("false"), f"{tmp}/load", parts=["p1"])
+    assert [r["id"] for r in spark.read.parquet(f"{tmp}/load").collect()] == ["c"]
+
+
 def test_one_pass_stage_sink(spark, tmp):
     write_text(f"{tmp}/raw/p0.csv", edge_lines())
     raw = files.read_raw(spark, f"{tmp}/raw")

@@ -20,6 +20,17 @@ def test_numbers_as_python_literals(spark):
         ["10", "1.5", "0", "0", "0", "0", "1000.0", "0", "0", "0", "-5"]
 
 
+@pytest.mark.parametrize("text", ["15300000.0", "1e7", "1.5e15", "1e16", "1.5e16", "123456789.25", "0.0001", "0.00005",
+                                  "1e-7", "1e300", "2.5e-10", "100.", ".5", "1e22", "0.001"])
+def test_number_text_is_what_python_prints(spark, text):
+    assert one_col(spark, [text], numbers.number_text) == [repr(float(text))]
+
+
+def test_integer_text_of_any_length(spark):
+    vals = ["1" * 45, "-12", "+7", "000", "-0", "10000000"]
+    assert one_col(spark, vals, numbers.number_text) == ["1" * 45, "-12", "7", "0", "0", "10000000"]
+
+
 def test_float_parse_accepts_what_float_accepts(spark):
     vals = ["-73.9", "007", "nan", "-inf", "0.5.1", "5d", None]
     out = one_col(spark, vals, numbers.parse_float)
@@ -78,3 +89,13 @@ def test_codes_and_flag(spark):
 
 def test_passenger_rounding_half_away(spark):
     assert one_col(spark, [2.5, -2.5, 1.4], numbers.round_half_away, "double") == [3, -3, 1]
+
+
+def test_role_selectors():
+    from taxiframe import schemas
+    assert schemas.COORDINATES == ["pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude"]
+    assert schemas.DATETIMES == ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
+    assert schemas.CODES == ["VendorID", "RateCodeID", "store_and_fwd_flag", "payment_type"]
+    assert schemas.geometry_columns(["a_geom", "b"]) == ["a_geom"]
+    assert schemas.nonzero_amount_columns(schemas.RAW_COLUMNS) == [
+        "passenger_count", "trip_distance", "fare_amount", "total_amount"]
