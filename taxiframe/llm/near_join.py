@@ -8,7 +8,7 @@ shingles is at least 0.8 (shorter texts have one shingle, all their words).
    each tree, representatives with the same prefix of the signature meet. The
    prefix starts at its full length and is shortened until the probability
    that a pair at the threshold meets in some tree reaches ``RECALL``.
-3. Meeting makes candidates, chained to components by pointer jumping over
+3. Meeting makes candidates, chained to components by hooking and contracting
    (member, smallest member) rows: a tree node of ``m`` members has ``m`` rows,
    never its pairs.
 4. The texts of a component go to one task, those of a component above
@@ -117,29 +117,41 @@ def sketch(length: int):
     return run
 
 
-def components(links: DataFrame, name: str, most: int = 60) -> DataFrame:
+def components(links: DataFrame, name: str) -> DataFrame:
     """``member, root`` for the members of ``links`` (``a, b``): the smallest
-    member that can be reached. Each round hands the smallest neighbour on and
-    then jumps from root to root; it ends when no root changes."""
-    links = links.where("a != b")
-    both = materialize(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), f"{name}-links")
-    roots = materialize(both.groupBy(F.col("a").alias("member")).agg(
-        F.least(F.min("b"), F.col("a")).alias("root")), f"{name}-roots")
-    for _ in range(most):
-        by_root = roots.select(F.col("member").alias("b"), F.col("root").alias("near"))
-        nearest = both.join(by_root, "b").groupBy(F.col("a").alias("member")).agg(F.min("near").alias("near"))
-        lower = roots.join(nearest, "member").select("member", "root", F.least("root", "near").alias("near"))
-        # The old root learns of the smaller one as well, and so do its members.
-        hooked = lower.groupBy("root").agg(F.min("near").alias("far"))
-        jump = roots.select(F.col("member").alias("far"), F.col("root").alias("further"))
-        hooked = hooked.join(jump, "far", "left").select("root", F.coalesce("further", "far").alias("far"))
-        after = materialize(lower.join(hooked, "root").select(
-            "member", F.least("near", "far").alias("root"), (F.least("near", "far") != F.col("root")).alias("moved")),
-            f"{name}-roots")
-        roots = after.select("member", "root")
-        if after.where("moved").isEmpty():
-            return roots
-    raise RuntimeError(f"{name}: the components did not settle in {most} rounds")
+    member that can be reached.
+
+    Each round hooks every member to its smallest neighbour below it, jumps
+    along these hooks to their ends, and contracts the links to what is left
+    between different ends. A tight group collapses in the first round."""
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    links = materialize(links.where("a != b").select(high.alias("a"), low.alias("b")).distinct(), f"{name}-links")
+    done: list[DataFrame] = []
+    while not links.isEmpty():
+        hooks = materialize(links.groupBy(F.col("a").alias("member")).agg(F.min("b").alias("root")), f"{name}-hooks")
+        while True:
+            ends = hooks.select(F.col("member").alias("root"), F.col("root").alias("next"))
+            after = materialize(hooks.join(ends, "root", "left").select(
+                "member", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
+                f"{name}-hooks")
+            hooks = after.select("member", "root")
+            if after.where("moved").isEmpty():
+                break
+        done.append(hooks)
+        to = lambda c: hooks.select(F.col("member").alias(c), F.col("root").alias(f"{c}_root"))  # noqa: E731, B023
+        ended = links.join(to("a"), "a").join(to("b"), "b", "left").select(
+            F.col("a_root").alias("a"), F.coalesce("b_root", "b").alias("b")).where("a != b")
+        links = materialize(ended.select(high.alias("a"), low.alias("b")).distinct(), f"{name}-links")
+    if not done:
+        return links.select(F.col("a").alias("member"), F.col("b").alias("root"))
+    # What a later round hooked carries all that earlier rounds hooked to it.
+    roots = done[-1]
+    for hooks in reversed(done[:-1]):
+        later = roots.select(F.col("member").alias("root"), F.col("root").alias("next"))
+        roots = roots.unionByName(hooks.join(later, "root", "left").select(
+            "member", F.coalesce("next", "root").alias("root")))
+    ends = roots.select(F.col("root").alias("member"), "root").distinct()
+    return materialize(roots.unionByName(ends), f"{name}-roots")
 
 
 def linked(sets: list[np.ndarray], nodes: list[frozenset[int]], weights: np.ndarray, split: int,
