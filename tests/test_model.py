@@ -86,7 +86,7 @@ def stored(spark, path):
 
 def test_loads_of_parts_keep_every_row(spark, tmp):
     """Parts 00, 01, 00 again and a corrected part 01 end with the rows of the load table."""
-    staged = trips.classified(spark, SF01).where("source_file LIKE '%-0_\\_0_.csv.zip' AND tpep_pickup_datetime < '1992-03'")
+    staged = trips.classified(spark, SF01).where("source_file LIKE '%-0_\\_0_.csv.zip' AND tpep_pickup_datetime < '1995-03'")
     staged = staged.select(F.explode(F.when(F.col("reject_reason").isNull(), F.array(F.struct(
         *clean._staged_projection())))).alias("s"), F.regexp_extract("source_file", "_([0-9]+)[.]csv", 1)
         .alias("source_part")).select("s.*", "source_part").where("source_part IN ('00', '01')").cache()
@@ -113,7 +113,7 @@ def test_loads_of_parts_keep_every_row(spark, tmp):
 
 
 def test_model_write_is_pruned_by_day(spark, tmp):
-    load = trips.load_table(spark, SF001).where("tpep_pickup_datetime < '1992-03'").cache()
+    load = trips.load_table(spark, SF001).where("tpep_pickup_datetime < '1995-03'").cache()
     for _ in range(2):  # rerun: the same folders are replaced, not appended to
         paths = model.write_model(load, tmp + "/model", trips.RUN_TS)
     for name, path in paths.items():
