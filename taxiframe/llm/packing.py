@@ -1,17 +1,17 @@
-"""Best-fit packing of tokenized documents by rounds over a tree of tasks.
+"""Best-fit packing of tokenized documents by one plan over all lengths.
 
-Documents are tokenized and cut into pieces of at most ``size`` tokens. Every
-task packs the pieces it has by best fit (largest piece first, into the
-sequence that it fits most closely). Sequences that are nearly full are
-final. The pieces of the others are carried to the next round, where one task
-gets what ``FAN_IN`` tasks have carried, until one task is left, which emits
-all. A task carries at most ``CARRY`` pieces and emits its fullest other
-sequences besides, so a task of a later round holds ``FAN_IN * CARRY`` pieces
-at most, whatever the lengths are; no piece is ever dropped.
+Documents are tokenized and cut into pieces of at most ``size`` tokens. Best
+fit (largest piece first, into the sequence that it fits most closely) looks at
+lengths only, so it runs once over how many pieces there are of each length, at
+most ``size`` numbers: pieces of one length fill ranges of sequences of equal
+free space at a time, and the plan stays small whatever the table is. A piece
+finds its place by its rank among all pieces of its length: its rank in its
+task plus the pieces of that length in the tasks before. The sequences are
+those of one best fit in a single task, however the rows are dealt or sorted.
 
 A null text counts as empty (its only token is the end token); repeated rows
-are packed each time; an empty table gives an empty result. Rounds are
-written to the shared folder, so a lost executor repeats its own task only.
+are packed each time; an empty table gives an empty result. The ranked pieces
+are written to the shared folder, so a lost executor repeats its own task only.
 """
 
 from __future__ import annotations
@@ -26,19 +26,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxiframe.llm.common import materialize
+from taxiframe.llm.common import lookup, materialize
 
 SIZE, END = 1024, 2
 FAN_IN, CARRY = 16, 4096
-#: A sequence with less free space than this part of its size is final.
-SLACK = 1 / 64
 #: Words whose ids a task keeps.
 CACHE = 400_000
-#: Rows that a task packs together in the first round.
-LOCAL = 1 << 18
 
 BLANK_AFTER_SPACE = re.compile(r"\s ")
 
@@ -142,24 +138,55 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return out
 
 
-def pack_rows(pieces: pa.Table, group: int, size: int, last: bool, carry: int) -> Iterator[pa.RecordBatch]:
-    """The pieces with ``sequence_id`` and ``offset``; null for those carried."""
-    order = [("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")]
-    pieces = pieces.sort_by(order)
-    lengths = pieces.column("length").to_numpy()
-    sequence, offset = np.full(len(lengths), -1), np.full(len(lengths), -1)
-    bins = best_fit(lengths, size)
-    fills = [int(lengths[b].sum()) for b in bins]
-    kept = 0
-    for b in sorted(range(len(bins)), key=fills.__getitem__):  # emptiest first
-        if not last and fills[b] < size - size * SLACK and kept + len(bins[b]) <= carry:
-            kept += len(bins[b])
-            continue
-        sequence[bins[b]] = (group << 32) + b
-        offset[bins[b]] = np.cumsum(lengths[bins[b]]) - lengths[bins[b]]
-    for name, values in (("sequence_id", sequence), ("offset", offset)):
-        pieces = pieces.append_column(name, pa.array(values, pa.int64(), mask=values < 0))
-    yield from pieces.to_batches(max_chunksize=10_000)
+def best_fit_plan(counts: np.ndarray, size: int) -> np.ndarray:
+    """``best_fit`` over ``counts[n]`` pieces of each length ``n``, as columns
+    ``length, rank, sequence, copies, offset``: from this rank on among the pieces
+    of the length, each sequence gets so many copies from this offset on."""
+    open_at: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # ranges of sequences by free space
+    spaces = sequences = 0
+    rules: list[tuple[int, int, int, int, int]] = []
+
+    def put(free: int, low: int, high: int) -> None:
+        nonlocal spaces
+        if free and low < high:
+            open_at[free].append((low, high))
+            spaces |= 1 << free
+
+    for n in range(size, 0, -1):
+        rank, left = 0, int(counts[n])
+        while left:
+            fitting = spaces >> n
+            if fitting:
+                free = n + (fitting & -fitting).bit_length() - 1
+                low, high = open_at[free].pop()
+                if not open_at[free]:
+                    spaces &= ~(1 << free)
+            else:
+                free, low = size, sequences
+                sequences = high = low - (-left // (size // n))
+            # A sequence that got a piece and has room for another fits the next most closely.
+            copies = free // n
+            full = min(high - low, left // copies)
+            if full:
+                rules.append((n, rank, low, copies, size - free))
+                put(free - copies * n, low, low + full)
+                rank, left, low = rank + full * copies, left - full * copies, low + full
+            if left and low < high:
+                rules.append((n, rank, low, left, size - free))
+                put(free - left * n, low, low + 1)
+                left, low = 0, low + 1
+            put(free, low, high)
+    return np.array(rules, np.int64).reshape(-1, 5)
+
+
+def ranks_within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The rank of each piece among those of its length; ``seen`` counts on."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    ranks = np.empty(len(lengths), np.int64)
+    ranks[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered) + seen[ordered]
+    seen += np.bincount(lengths, minlength=len(seen))
+    return ranks
 
 
 def tokenize(docs: DataFrame, vocab: str | None = None, ranks: str | None = None, size: int = SIZE, end: int = END,
@@ -196,53 +223,43 @@ def tokenize(docs: DataFrame, vocab: str | None = None, ranks: str | None = None
 
 def pack(pieces: DataFrame, size: int = SIZE, fan_in: int = FAN_IN, carry: int = CARRY) -> DataFrame:
     """``pieces`` (``doc_id, piece, start, length, ids_crc32``) with
-    ``sequence_id`` and ``offset``."""
+    ``sequence_id`` and ``offset``. ``fan_in`` and ``carry`` bounded a tree of
+    tasks that there was; they are accepted and change nothing."""
     kind = pieces.schema["doc_id"].dataType.simpleString()
-    fields = PIECE.format(id=kind) + ", sequence_id long, offset long"
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        held: list[pa.RecordBatch] = []
-        part = 0
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            group = (task << 8) + part
-            for b in pack_rows(pa.Table.from_batches(held), group, size, False, carry):
-                yield b.append_column("task", pa.array([task] * b.num_rows, pa.int64()))
+    fields = PIECE.format(id=kind)
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= LOCAL:
-                yield from packed()
-                held, part = [], part + 1
-        if held:
-            yield from packed()
-
-    def packer(level: int, last: bool):
-        def again(key: tuple, table: pa.Table) -> pa.Table:
-            task = key[0].as_py()
-            table = table.select(["doc_id", "piece", "start", "length", "ids_crc32"])
-            out = pa.Table.from_batches(pack_rows(table, (level << 27) + task, size, last, carry))
-            return out.append_column("task", pa.array([task] * out.num_rows, pa.int64()))
-
-        return again
-
-    done: list[DataFrame] = []
-    rows = materialize(pieces.mapInArrow(local, fields + ", task long"), "packed-0")
-    tasks = (rows.agg(F.max("task")).first()[0] or 0) + 1
-    level = 0
-    while True:
-        done.append(rows.where("sequence_id is not null").drop("task"))
-        level += 1
-        last = tasks <= fan_in
-        tasks = -(-tasks // fan_in)
-
-        carried = rows.where("sequence_id is null").withColumn("task", F.floor(F.col("task") / fan_in))
-        rows = materialize(carried.groupBy("task").applyInArrow(packer(level, last), fields + ", task long"), f"packed-{level}")
-        if last:
-            done.append(rows.drop("task"))
-            break
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
+            ranks = ranks_within(batch.column(3).to_numpy(), seen)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([task] * len(ranks), pa.int64()), pa.array(ranks, pa.int64())],
+                [*names, "task", "rank"])
+
+    rows = materialize(pieces.select(names).mapInArrow(ranked, fields + ", task long, rank long"), "ranked-pieces")
+    slot = (F.col("task") * (size + 1) + F.col("length")).alias("slot")
+    by_task = materialize(rows.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    counts = np.zeros(size + 1, np.int64)
+    for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # a row per length
+        counts[r["length"]] = r["n"]
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = by_task.select(slot, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    # The small table is read twice (its size, the join), so it is written once.
+    earlier = materialize(earlier.withColumnRenamed("slot", "of_slot"), "piece-offsets")
+    plan = best_fit_plan(counts, size)
+    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = (plan[:, 0] << 48) + plan[:, 1]
+        for batch in batches:
+            length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
+            rule = plan[np.searchsorted(key, (length << 48) + rank, side="right") - 1]
+            nth = rank - rule[:, 1]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(rule[:, 2] + nth // rule[:, 3], pa.int64()),
+                 pa.array(rule[:, 4] + nth % rule[:, 3] * length, pa.int64())], [*names, "sequence_id", "offset"])
+
+    whole = lookup(rows.select("*", slot), earlier, "slot", "of_slot", F.col("rank"))
+    return whole.select(*names, (F.col("rank") + F.col("earlier")).alias("rank")).mapInArrow(
+        placed, fields + ", sequence_id long, offset long")

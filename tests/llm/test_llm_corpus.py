@@ -192,6 +192,31 @@ def test_packing_is_whole_and_tight(spark, fan_in, carry):
     assert bins <= whole * (1.01 if carry > 3 else 1.05)
 
 
+def test_packing_of_sorted_lengths_is_one_best_fit(spark):
+    """Long pieces in some tasks and short ones in others fill each other's space."""
+    rnd = np.random.default_rng(5)
+    lengths = np.sort(np.concatenate([rnd.integers(520, 760, 6000), rnd.integers(30, 480, 6000), [1024] * 9]))
+    pieces = spark.createDataFrame(spark.sparkContext.parallelize(
+        [(i, 0, 0, int(n), i) for i, n in enumerate(lengths)], 8), packing.PIECE.format(id="long"))
+    got = packing.pack(pieces).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(lengths)))
+    assert check_packing(got, 1024) == len(packing.best_fit(lengths, 1024))
+
+
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_plan_by_counts_is_best_fit(size):
+    rnd = np.random.default_rng(size)
+    for n in (0, 1, 50, 2000):
+        lengths = rnd.integers(1, size + 1, n)
+        plan = packing.best_fit_plan(np.bincount(lengths, minlength=size + 1), size)
+        fills = Counter()
+        for length, rank, first, copies, _ in plan.tolist():
+            end = min([r for k, r, *_ in plan.tolist() if k == length and r > rank], default=int((lengths == length).sum()))
+            for j in range(end - rank):
+                fills[first + j // copies] += length
+        assert sorted(fills.values()) == sorted(int(lengths[b].sum()) for b in packing.best_fit(lengths, size))
+
+
 def test_best_fit_takes_the_closest():
     assert packing.best_fit(np.array([60, 50, 45, 40, 5]), 100) == [[0, 3], [1, 2, 4]]
 
