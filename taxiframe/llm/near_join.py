@@ -12,12 +12,12 @@ shingles is at least 0.8 (shorter texts have one shingle, all their words).
    (member, smallest member) rows: a tree node of ``m`` members has ``m`` rows,
    never its pairs.
 4. The texts of a component go to one task, those of a component above
-   ``PART`` members to one task for each two parts of it. The task checks the
-   candidate pairs, those that meet in some tree, by their exact shingle sets. It
+   ``PART`` members to one task for each two parts of it. The task checks all
+   pairs by their exact shingle sets, also those that meet in no tree. It
    returns the links of each text as a number and a spanning forest of them.
 5. The forests are chained to classes of near copies.
 
-Every pair that meets is verified, in groups of any size; no bucket is cut.
+Every pair of a component is verified, in groups of any size; no bucket is cut.
 A null text counts as empty; texts without words are a class of their own and
 equal to each other. Null ids and repeated rows are documents like any other.
 An empty table gives an empty result.
@@ -154,7 +154,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     return materialize(roots.unionByName(ends), f"{name}-roots")
 
 
-def linked(sets: list[np.ndarray], nodes: list[frozenset[int]], weights: np.ndarray, split: int,
+def linked(sets: list[np.ndarray], weights: np.ndarray, split: int,
            similarity: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links of each text (weighted by the members of the class at the other
     end) and a spanning forest. ``split`` > 0: only pairs across that place."""
@@ -170,8 +170,6 @@ def linked(sets: list[np.ndarray], nodes: list[frozenset[int]], weights: np.ndar
     sizes = np.array([len(s) for s in sets])
     for i, later in overlaps(sets, sizes, split, similarity):
         for j in later:
-            if nodes[i].isdisjoint(nodes[j]):
-                continue
             counts[i] += weights[j]
             counts[j] += weights[i]
             a, b = find(i), find(j)
@@ -207,17 +205,16 @@ def overlaps(sets: list[np.ndarray], sizes: np.ndarray, split: int,
                 yield i, exact
 
 
-def verify(similarity: float, length: int):
+def verify(similarity: float):
     """A function for mapInArrow over rows sorted by ``task``."""
     def group(rows: list[tuple]) -> list[tuple]:
         rows.sort(key=lambda r: (r[1], r[2]))
         sets = [shingles(r[3]) for r in rows]
-        nodes = [frozenset(prefixes(s, length)) for s in sets]
         low, high = rows[0][1], rows[-1][1]
         split = sum(r[1] == low for r in rows) if low != high or rows[0][5] else 0
         if split == len(rows):
             return []
-        counts, edges = linked(sets, nodes, np.array([r[4] for r in rows]), split, similarity)
+        counts, edges = linked(sets, np.array([r[4] for r in rows]), split, similarity)
         out = [(rows[i][2], None, int(c)) for i, c in enumerate(counts) if c]
         return out + [(rows[i][2], rows[j][2], 0) for i, j in edges]
 
@@ -283,7 +280,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         F.concat("root", F.encode(F.concat_ws(":", "pair.x", "pair.y"), "utf-8")).alias("task"),
         "mine", "member", "text", "weight", (F.col("pair.x") != F.col("pair.y")).alias("across"))
     checked = materialize(sent.repartition("task").sortWithinPartitions("task").mapInArrow(
-        verify(similarity, length), "a binary, b binary, n long"), "near-links")
+        verify(similarity), "a binary, b binary, n long"), "near-links")
     links = checked.where("b is null").groupBy(F.col("a").alias("same")).agg(F.sum("n").alias("others"))
     clusters = components(checked.where("b is not null").select("a", "b"), "near-clusters")
     found = (classes.join(links, "same", "left")

@@ -96,6 +96,17 @@ def test_near_group_in_parts(spark, part):
     assert counted(near_join.near_links(docs, part=part)) == brute_links(data)
 
 
+def test_links_of_pairs_that_meet_in_no_tree(spark):
+    """At full depth about one pair in a hundred at 0.8 shares no tree node;
+    in one component its link is counted all the same."""
+    base = prose(21, 96).split()
+    data = [(i, " ".join([*base[:i + 10], f"edit{i}", *base[i + 11:]])) for i in range(60)]
+    nodes = [set(near_join.prefixes(near_join.shingles(t), near_join.DEPTH)) for _, t in data]
+    assert any(a.isdisjoint(b) for a in nodes for b in nodes)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert counted(near_join.near_links(docs, recall=0.0)) == brute_links(data)
+
+
 def test_prefix_is_shortened_to_the_recall():
     assert near_join.prefix_length(recall=0.0) == near_join.DEPTH
     d = near_join.prefix_length()
