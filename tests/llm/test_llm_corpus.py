@@ -279,6 +279,14 @@ def test_packed_ids_round_trip():
     assert hmm.unpack_ids(hmm.pack_ids(ids)).tolist() == ids.tolist()
 
 
+def test_symbols_are_ranked_by_the_whole_count(spark):
+    """A word that is rare in every block but has many occurrences in all."""
+    rows = [(b, 0, b"often", 5, False) for b in range(20)] + [(0, 1, b"once", 1, True), (0, 2, b"held", 0, False)]
+    got = hmm.count_words(spark.createDataFrame(rows, "block long, id int, word binary, n long, common boolean"))
+    symbols = {(r["id"], r["symbol"] < hmm.WORDS) for r in got.collect()}
+    assert symbols == {(0, True), (1, True), (2, False)}
+
+
 def brute_base(data):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tokens = [[*WORD.findall((t or "").translate(lower)), None] for _, t in data]
