@@ -11,14 +11,20 @@ from taxiframe.session import scratch_path
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: The characters between words.
+BLANKS = " \t\n\v\f\r"
 #: Size up to which a lookup table is sent to every executor.
 BROADCAST_BYTES = 4 << 20
 #: Parts that a row group of one key is dealt to where a lookup is not broadcast.
 SALTS = 16
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +35,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, also where it has a dot or a backtick."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fresh(name: str, taken: Sequence[str]) -> str:
     """``name``, or with underscores in front where a column already has it."""
     low = {t.lower() for t in taken}

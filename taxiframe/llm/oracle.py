@@ -106,4 +106,80 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 A
 FROM f JOIN bh ON f.source IS NOT DISTINCT FROM bh.source
 """
 
-ORACLE = {"op2_ngram_jaccard_join": OP2, "op3_line_dedup": OP3, "op4_source_mix": OP4, "op8_host_rules": OP8}
+OP11 = r"""
+WITH e AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.row AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.row, b.vec_id,
+             CASE WHEN len(a.v) = 0 THEN 0 ELSE list_inner_product(a.v, b.v) END::HUGEINT AS score
+      FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.row <> b.row),
+p AS (SELECT anchor, anchor_id, row AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, row) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id,
+       positive_score::BIGINT AS positive_score, s.score::BIGINT AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id NULLS LAST, s.row)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR END"
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''),
+  lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda v, bit: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)))"""
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# tree 1 has the leaves of each language, tree 2 the subroots.
+OP12 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, lang,
+    sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0 THEN
+      sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", _LOWER)))}) END AS changed FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS idx,
+             count(*) OVER (PARTITION BY lang) AS n FROM d),
+t AS (SELECT 0 AS lvl, lang, idx, n, leaf AS h FROM l
+      UNION ALL
+      SELECT lvl + 1, lang, idx // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM t WHERE n > 1
+      GROUP BY lvl, lang, idx // 8),
+s AS (SELECT lang, lvl AS top, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx,
+             count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, idx, n, subroot AS h FROM s
+      UNION ALL
+      SELECT lvl + 1, idx // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM u WHERE n > 1
+      GROUP BY lvl, idx // 8),
+runs AS (SELECT 1 AS tree, lang, lvl, idx // 8 AS run, list(h ORDER BY idx) AS hs FROM t WHERE n > 1 GROUP BY ALL
+         UNION ALL SELECT 2, NULL, lvl, idx // 8, list(h ORDER BY idx) FROM u WHERE n > 1 GROUP BY ALL),
+f AS (SELECT rid, l.lang, 1 AS tree, 0 AS lvl, l.idx, s.top, s.idx AS place, coalesce(changed, leaf) AS node, '' AS proof
+      FROM l JOIN s ON s.lang IS NOT DISTINCT FROM l.lang
+      UNION ALL
+      SELECT rid, f.lang, CASE WHEN f.tree = 1 AND f.lvl >= top THEN 2 ELSE f.tree END,
+             CASE WHEN f.tree = 1 AND f.lvl >= top THEN 0 ELSE f.lvl + 1 END,
+             CASE WHEN f.tree = 1 AND f.lvl >= top THEN place ELSE f.idx // 8 END, top, place,
+             CASE WHEN f.tree = 1 AND f.lvl >= top THEN node ELSE sha256(array_to_string(list_concat(
+               hs[:f.idx % 8], [node], hs[f.idx % 8 + 2:]), '')) END,
+             CASE WHEN f.tree = 1 AND f.lvl >= top THEN proof ELSE proof || array_to_string(list_concat(
+               hs[:f.idx % 8], hs[f.idx % 8 + 2:]), '') END
+      FROM f LEFT JOIN runs r ON r.tree = f.tree AND r.lvl = f.lvl AND r.run = f.idx // 8
+        AND (f.tree = 2 OR r.lang IS NOT DISTINCT FROM f.lang)
+      WHERE (f.tree = 1 AND f.lvl >= top) OR r.run IS NOT NULL),
+e AS (SELECT * FROM f WHERE tree = 2 QUALIFY row_number() OVER (PARTITION BY rid ORDER BY lvl DESC) = 1),
+root AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.subroot, root, sha256(e.proof) AS proof_sha256, e.node AS folded_root, e.node = root AS verified
+FROM l JOIN s ON s.lang IS NOT DISTINCT FROM l.lang JOIN e USING (rid), root
+"""
+
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body,
+                  length(coalesce(text, '')) AS n FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(body) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id NULLS LAST, rid)
+"""
+
+ORACLE = {"op2_ngram_jaccard_join": OP2, "op3_line_dedup": OP3, "op4_source_mix": OP4, "op8_host_rules": OP8,
+          "op11_hard_negatives": OP11, "op12_merkle_manifest": OP12, "op13_exact_dedup": OP13}

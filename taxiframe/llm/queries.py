@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxiframe.llm import (
+    exact_dedup,
     fingerprints,
+    hard_negatives,
     hmm,
     host_rules,
     line_dedup,
+    merkle,
     mixing,
     near_join,
     packing,
@@ -17,7 +20,7 @@ from taxiframe.llm import (
     secrets,
     token_counts,
 )
-from taxiframe.llm.common import documents
+from taxiframe.llm.common import documents, table
 from taxiframe.llm.oracle import ORACLE
 from taxiframe.session import scratch_path
 
@@ -70,6 +73,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenize(documents(spark, sf_dir)))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.prepared(table(spark, sf_dir, "embeddings")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.manifest(documents(spark, sf_dir))
+    return proved.select("doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_dedup.mark_copies(documents(spark, sf_dir))
+    return marked.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_syncmer_fingerprints, op2_ngram_jaccard_join, op3_line_dedup, op4_source_mix, op5_pii_spans,
-    op6_secret_ledger, op7_hidden_markov_scores, op8_host_rules, op9_trie_token_counts, op10_best_fit_packing)}
+    op6_secret_ledger, op7_hidden_markov_scores, op8_host_rules, op9_trie_token_counts, op10_best_fit_packing,
+    op11_hard_negatives, op12_merkle_manifest, op13_exact_dedup)}
