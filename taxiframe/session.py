@@ -36,6 +36,11 @@ SESSION_DEFAULTS = {
     # A write into a few folders keeps their files open side by side instead
     # of sorting wide rows by the folder; beyond that number it sorts.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Listing thousands of folders or files is one job of so many tasks, not
+    # one task for each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # Rows that go to a Python worker at once: long texts stay in its memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
