@@ -10,11 +10,14 @@ smallest anchor hashes (32 bits, as hexadecimal text in ascending order). The
 likeness of two fingerprints is the share of the smallest hashes of their union
 that both have, an estimate of the Jaccard similarity of the anchor sets.
 
-Whole texts are read. A text of fewer than ``K`` letters has one anchor, the
-hash of all its letters; a null or empty text has the fingerprint ``""``, and
-two of them have likeness 1. Equal texts have equal fingerprints. Other
-columns and repeated rows are carried along; an empty table gives an empty
-result.
+Whole texts are read, also very long ones. A text without a syncmer (it has
+fewer than ``K + 3`` letters) has one anchor, the hash of all its letters, so
+only a text without a word has the fingerprint ``""``, and two of these have
+likeness 1. A run of more than ``LETTER`` characters without white space is cut at
+fixed places, so an insertion changes the letters that follow it in the run.
+Equal texts have equal fingerprints, and rows of equal likeness are not told
+apart. Other columns and repeated rows are carried along, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ def letters(text: Column) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """The hashes of the closed syncmers of a text by place; null where the
-    k-mer that starts there is none."""
+    """The hashes of the closed syncmers of a text by place; for a text that has
+    letters but no syncmer the hash of all its letters."""
     inner = K - S + 1
 
     def syncmers(h: Column) -> Column:
@@ -52,16 +55,18 @@ def anchors(text: Column) -> Column:
         return let(smers, lambda s: F.transform(F.sequence(F.lit(0), n - K), lambda i: kmer(s, i)))
 
     def all_of(h: Column) -> Column:
+        none = F.array().cast("array<long>")
+        chosen = F.when(F.size(h) >= K, F.filter(syncmers(h), lambda a: a.isNotNull())).otherwise(none)
+        # K + 3 letters always have a syncmer, fewer may have none.
         few = F.array(F.aggregate(h, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)))
-        return F.when(F.size(h) >= K, syncmers(h)).when(F.size(h) > 0, few).otherwise(F.array().cast("array<long>"))
+        return let(chosen, lambda a: F.when((F.size(a) == 0) & (F.size(h) > 0), few).otherwise(a))
 
     return let(letters(text), all_of)
 
 
 def fingerprint(text: Column) -> Column:
     """The sketch of a text as one string."""
-    top = F.transform(F.filter(anchors(F.coalesce(text, F.lit(""))), lambda a: a.isNotNull()),
-                      lambda a: F.shiftrightunsigned(a, 32))
+    top = F.transform(anchors(F.coalesce(text, F.lit(""))), lambda a: F.shiftrightunsigned(a, 32))
     smallest = F.slice(F.sort_array(F.array_distinct(top)), 1, SKETCH)
     return F.array_join(F.transform(smallest, lambda a: F.lower(F.lpad(F.hex(a), WIDTH, "0"))), "")
 

@@ -1,23 +1,31 @@
 """Line dedup by content-defined chunks, in DataFrame functions.
 
 A text is a sequence of units: its lines, and within lines of several
-sentences the sentences. A unit is hashed, and a rolling hash over two
-adjacent units decides whether a chunk ends, so an insertion moves the borders
-next to it only. A line of several sentences is a block of its own: its first
-and last border don't depend on its neighbours.
-
-Chunks of at least two units and ``MIN_WORDS`` words, or of ``LONG_WORDS`` words,
-that occur more than once in the corpus keep their first occurrence (by document id, then place); all
-others are removed from their texts. Equal hashes only make candidates: the
-bytes of the chunks are compared by grouping on the chunks themselves.
-
-Two shuffles carry texts: one brings the places of the candidates to the
-documents, one the places to remove. A chunk that a third of all
-documents have is pre-aggregated before each shuffle by key.
-
-A null text has no chunks and stays null. Null ids come last. Rows of equal id
-and text count as one document and get the same result. An empty table gives
-an empty result. All other columns are carried along.
+sentences the sentences. Units without a word are carried along only. A chunk
+starts at every unit and ends where its own content says: with the first unit
+that brings it to ``MIN_UNITS`` units and ``MIN_WORDS`` words (a unit of
+``LONG_WORDS`` words is a chunk by itself). Its hash is rolled over the hashes of
+its units. So the chunks of a passage depend on the passage only, wherever it
+stands, and text inserted before or after it moves none of its borders. Chunks
+that overlap cover a repeated passage of many lines as a whole.
+
+A chunk that occurs more than once in the corpus keeps its first occurrence (by
+document id, then place); the units of all others are removed from their texts.
+Equal hashes only make candidates: the bytes of the chunks are compared by
+grouping on the chunks themselves. Every unit removed is left at another place:
+the first occurrence of a chunk comes before the one removed, and so on down to
+a place that no chunk removes.
+
+Hashes alone are counted first, so of most chunks only eight bytes are
+shuffled, after a partial aggregation. Two shuffles carry texts: one brings the
+places of the candidates to the documents, one the places to remove. A chunk
+that a third of all documents have is met through a lookup that deals its rows.
+
+A null text has no chunks and stays null; an empty text and one without a word
+stay as they are. Very long texts are cut as a whole, in the memory of one row.
+Null ids come last. Rows of equal id and text count as one document and get the
+same result. An empty table gives an empty result. All other columns are
+carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +33,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxiframe.llm.common import WORD, fresh, let, materialize, row_key
+from taxiframe.llm.common import WORD, column, fresh, let, lookup, materialize, row_key
 
 #: A sentence with its blanks, a line with its end, or the rest of the text.
 UNIT = r"[^\n]*?[.!?] +|[^\n]*\n|[^\n]+"
-#: One in so many places is a border.
-SPREAD = 4
+#: A chunk has at least so many units with words and so many words (each unit
+#: has one, so never more than MIN_WORDS units).
 MIN_UNITS, MIN_WORDS = 2, 10
 #: A unit of so many words spans several lines of a page.
 LONG_WORDS = 50
@@ -40,98 +48,109 @@ def units(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
 
 
-def stripped(unit: Column) -> Column:
-    return F.rtrim(unit, F.lit(" \n"))
+def worded(parts: Column) -> Column:
+    """``array<struct<at,unit,words>>``: the units that have words, without the
+    blanks and line ends at their end, and their places."""
+    def of(unit: Column, at: Column) -> Column:
+        return F.struct(at.alias("at"), F.rtrim(unit, F.lit(" \n")).alias("unit"),
+                        F.regexp_count(unit, F.lit(WORD)).alias("words"))
 
+    return F.filter(F.transform(parts, of), lambda u: u["words"] > 0)
 
-def borders(parts: Column) -> Column:
-    """For each unit whether a chunk ends after it."""
-    def of(u: Column, h: Column, ends: Column) -> Column:
-        def border(x: Column, i: Column) -> Column:
-            last = i == F.size(u) - 1
-            own_line = lambda j: (j == 0) | F.get(ends, j - 1)  # noqa: E731  # unit j starts a line
-            alone = lambda j: own_line(j) & (F.get(ends, j) | (j == F.size(u) - 1))
-            here = alone(i)
-            line_ends = F.get(ends, i) & ~(here & F.coalesce(alone(i + 1), F.lit(False)))
-            # The unit before counts if no border of a line lies between.
-            joined = (i > 0) & (~F.get(ends, i - 1) | (here & alone(i - 1)))
-            rolled = F.get(h, i) * 31 + F.when(joined, F.get(h, i - 1)).otherwise(0)
-            return last | line_ends | (F.pmod(F.shiftright(rolled, 3), F.lit(SPREAD)) == 0)
 
-        return F.transform(u, border)
-
-    return let(parts, lambda u: let(
-        F.transform(u, lambda x: F.conv(F.substring(F.md5(stripped(x)), 1, 8), 16, 10).cast("long")), lambda h: let(
-            F.transform(u, lambda x: x.endswith("\n")), lambda ends: of(u, h, ends))))
+def chunk_units(words: Column, i: Column) -> Column:
+    """Units with words of the chunk that starts at unit ``i``; null where the
+    text ends before the chunk does. ``words``: their numbers of words."""
+    n, total = F.when(F.get(words, i) >= LONG_WORDS, F.lit(1)), F.get(words, i)
+    for size in range(2, max(MIN_UNITS, MIN_WORDS) + 1):
+        total = total + F.get(words, i + (size - 1))
+        if size >= MIN_UNITS:
+            n = n.when(total >= MIN_WORDS, F.lit(size))
+    return n
 
 
 def chunks(text: Column) -> Column:
-    """``array<struct<first,n,chunk>>``: place of the first unit, units, and
-    the text without blanks and line ends at its end."""
+    """``array<struct<first,n,size,hash>>`` of the chunks of a text: the place
+    among the units with words, their number, the units from the first to the
+    last one, and the hash."""
     def cut(u: Column) -> Column:
-        places = let(borders(u), lambda b: F.filter(F.sequence(F.lit(0), F.size(u) - 1), lambda i: F.get(b, i)))
-        return let(places, lambda e: F.transform(e, lambda last, k: span(
-            u, F.when(k > 0, F.get(e, k - 1) + 1).otherwise(0), last)))
-
-    def span(u: Column, first: Column, last: Column) -> Column:
-        n = last - first + 1
-        return F.struct(first.alias("first"), n.alias("n"),
-                        stripped(F.array_join(F.slice(u, first + 1, n), "")).alias("chunk"))
-
-    empty = F.array().cast("array<struct<first:int,n:int,chunk:string>>")
-    return let(units(text), lambda u: F.when(F.size(u) > 0, cut(u)).otherwise(empty))
-
-
-def eligible(text: Column) -> Column:
-    """The chunks that are long enough to be removed."""
-    def able(c: Column) -> Column:
-        return let(F.regexp_count(c["chunk"], F.lit(WORD)), lambda words: (words >= LONG_WORDS) | (
-            (c["n"] >= MIN_UNITS) & (words >= MIN_WORDS)))
-
-    return F.filter(chunks(text), able)
-
-
-def removed_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``key`` of a row and ``places``, the chunks to remove from it."""
-    ident = F.struct(docs[doc_id].isNull().alias("no_id"), docs[doc_id].alias("id"))
-    texts = docs.select(row_key(docs[doc_id], docs[text]).alias("key"), ident.alias("ident"), docs[text].alias("text"))
-    chunk = [F.col(f"c.{n}").alias(n) for n in ("first", "n", "chunk")]
-    found = materialize(texts.select("key", "ident", F.explode(eligible(F.col("text"))).alias("c")).select(
-        "key", "ident", "c.first", F.unhex(F.md5("c.chunk")).alias("hash")), "line-chunks")
-    place = F.struct("ident", "key", "first")
-    # Candidates by hash: a few bytes per chunk are shuffled, after a partial
-    # aggregation. Two different places make a chunk repeated.
-    candidates = found.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
-        "low != high").select(F.col("hash").alias("candidate"))
-    places = found.join(candidates.hint("shuffle_hash"), F.col("hash") == F.col("candidate"), "left_semi").groupBy(
-        "key").agg(F.collect_set("first").alias("firsts")).withColumnRenamed("key", "in_key")
-    likely = texts.join(places.hint("shuffle_hash"), F.col("key") == F.col("in_key")).select(
-        "key", "ident", F.explode(F.filter(eligible(F.col("text")), lambda c: F.array_contains(
-            "firsts", c["first"]))).alias("c")).select("key", "ident", *chunk)
-    likely = materialize(likely.withColumn("hash", F.unhex(F.md5("chunk"))), "line-candidates")
+        return let(F.transform(u, lambda x: x["words"]), lambda w: let(
+            F.transform(u, lambda x: F.xxhash64(x["unit"])), lambda h: found(u, w, h)))
+
+    def found(u: Column, w: Column, h: Column) -> Column:
+        def chunk(x: Column, i: Column) -> Column:
+            # Rolled over the chunk's units; the usual two are hashed at once.
+            two = F.xxhash64(F.get(h, i), F.get(h, i + 1))
+            rolled = lambda n: F.when(n == 2, two).otherwise(
+                F.xxhash64(F.slice(h, i + 1, F.coalesce(n, F.lit(0)))))
+            return let(chunk_units(w, i), lambda n: F.struct(i.alias("first"), n.alias("n"), rolled(n).alias("hash")))
+
+        return F.filter(F.transform(u, chunk), lambda c: c["n"].isNotNull())
+
+    none = F.array().cast("array<struct<first:int,n:int,hash:bigint>>")
+    return let(worded(units(text)), lambda u: F.when(F.size(u) > 0, cut(u)).otherwise(none))
+
+
+def chunk_text(u: Column, first: Column, n: Column) -> Column:
+    """The text of a chunk: its units, a line each."""
+    return F.array_join(F.transform(F.slice(u, first + 1, n), lambda x: x["unit"]), "\n")
+
+
+def removed_units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``key`` of a row, ``chunks`` (how many are removed) and ``gone``, the
+    places of the units to remove from it."""
+    given = column(doc_id)
+    texts = docs.select(row_key(given, column(text)).alias("key"),
+                        F.struct(given.isNull().alias("no_id"), given.alias("id")).alias("ident"), column(text).alias("text"))
+    cut = materialize(texts.select("key", chunks(F.col("text")).alias("chunks")).where(F.size("chunks") > 0), "line-chunks")
+    # Candidates: hashes that occur twice.
+    hashes = cut.select(F.explode(F.transform("chunks", lambda c: c["hash"])).alias("hash"))
+    again = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("hash").alias("repeated")), "line-repeated")
+    rows = cut.select("key", F.explode("chunks").alias("c")).select("key", "c.hash", "c.first", "c.n")
+    likely = lookup(rows, again.withColumn("is_repeated", F.lit(True)), "hash", "repeated", F.col("key")).where("is_repeated")
+    places = likely.groupBy("key").agg(F.collect_set(F.struct("first", "n", "hash")).alias("places"))
+    # The chunks themselves, for documents that have candidates.
+    held = texts.join(places.withColumnRenamed("key", "in_key"), F.col("key") == F.col("in_key"))
+    unit = F.col("u")
+    shown = held.select("key", "ident", worded(units(F.col("text"))).alias("u"), "places").select(
+        "key", "ident", F.explode(F.transform("places", lambda p: F.struct(
+            p["first"].alias("first"), p["hash"].alias("hash"), F.get(unit, p["first"])["at"].alias("from"),
+            F.get(unit, p["first"] + p["n"] - 1)["at"].alias("to"),
+            chunk_text(unit, p["first"], p["n"]).alias("chunk")))).alias("c")).select("key", "ident", "c.*")
+    shown = materialize(shown, "line-candidates")
     # Byte comparison: groups of equal hash and equal chunk.
-    firsts = likely.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
-        "low != high").select(F.col("hash").alias("h"), F.col("chunk").alias("text"), "low")
-    again = likely.join(firsts, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("text")))
-    return (again.where(place != F.col("low")).groupBy("key")
-            .agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("places")))
+    place = F.struct("ident", "key", "first")
+    firsts = shown.groupBy("hash", "chunk").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
+        "low != high").select(F.struct("hash", "chunk").alias("of"), "low")
+    same = lookup(shown.withColumn("is", F.struct("hash", "chunk")), firsts, "is", "of", F.col("key"))
+    later = same.where(F.col("low").isNotNull() & (place != F.col("low")))
+    # Rows of equal id and text give the same places.
+    spans = later.groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    return spans.select("key", F.size("spans").alias("chunks"), F.array_distinct(F.flatten(F.transform(
+        "spans", lambda s: F.sequence(s["from"], s["to"])))).alias("gone"))
+
 
+def without(text: Column, gone: Column) -> Column:
+    """The text without the units at the places ``gone``."""
+    # The difference of arrays takes a step for each unit, also of a long text.
+    def left(u: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(u) - 1), gone)
+        return F.array_join(F.transform(stay, lambda i: F.get(u, i)), "")
 
-def without(text: Column, places: Column) -> Column:
-    """The text without the units of the places."""
-    gone = F.flatten(F.transform(places, lambda p: F.sequence(p["first"], p["first"] + p["n"] - 1)))
-    return let(gone, lambda g: F.array_join(F.filter(units(text), lambda u, i: ~F.array_contains(g, i)), ""))
+    return let(units(text), left)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks removed from ``text``, and the struct
-    ``removed`` of the numbers of chunks and units removed."""
+    """``docs`` with the units of repeated chunks removed from ``text``, and a
+    struct ``removed`` of the numbers of chunks and units removed (where that
+    name is taken, one with underscores before it)."""
     name, key = fresh("removed", docs.columns), fresh("row_key", docs.columns)
-    gone = removed_places(docs, doc_id, text).withColumnsRenamed({"key": "_" + key, "places": "_" + name})
-    keyed = docs.withColumn(key, row_key(docs[doc_id], docs[text]))
-    joined = keyed.join(gone.hint("shuffle_hash"), F.col(key) == F.col("_" + key), "left")
+    gone = removed_units(docs, doc_id, text).withColumnsRenamed({"key": "_" + key, "gone": "_" + name, "chunks": "__" + name})
+    keyed = docs.withColumn(key, row_key(column(doc_id), column(text)))
+    joined = keyed.join(gone, F.col(key) == F.col("_" + key), "left")
     places = F.col("_" + name)
-    cleaned = F.when(places.isNull(), F.col(text)).otherwise(without(F.col(text), places))
-    counted = F.struct(F.coalesce(F.size(places), F.lit(0)).cast("long").alias("chunks"), F.coalesce(F.aggregate(
-        places, F.lit(0), lambda a, p: a + p["n"]), F.lit(0)).cast("long").alias("units"))
-    return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns], counted.alias(name))
+    cleaned = F.when(places.isNull(), column(text)).otherwise(without(column(text), places))
+    counted = F.struct(F.coalesce(F.col("__" + name), F.lit(0)).cast("long").alias("chunks"),
+                       F.coalesce(F.size(places), F.lit(0)).cast("long").alias("units"))
+    return joined.select(*[cleaned.alias(c) if c == text else column(c) for c in docs.columns], counted.alias(name))

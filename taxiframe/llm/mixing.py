@@ -11,9 +11,11 @@ No source is sorted as a whole. Sizes are summed by source and key range (a
 fixed number of ranges); only the documents in the one range that the target
 falls into are ordered by a window, all others are decided by their range.
 
-A null or empty text has size 0; a null source is a source of its own; rows
-repeat as often as they occur; equal keys are ordered by the hash. An empty
-table gives an empty result.
+A null or empty text has size 0; the words of very long texts are counted
+whole; a null source is a source of its own; rows repeat as often as they occur;
+equal keys are ordered by the hash. An empty table gives an empty result. All
+columns of the input are carried along, whatever their names; the struct of the
+result is called ``mix``, with underscores in front where that is taken.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxiframe.llm.common import WORD, lookup, materialize, fresh
+from taxiframe.llm.common import WORD, column, fresh, lookup, materialize
 
 #: Key ranges per source.
 RANGES = 4096
@@ -74,13 +76,13 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     and ``taken`` (words: ``times * size``)."""
     name = fresh("mix", docs.columns)
     part, key = fresh("mix_part", docs.columns), fresh("mix_source", docs.columns)
-    digest = F.md5(F.concat(F.coalesce(docs[doc_id].cast("string"), F.lit("")), F.lit(":"),
-                            F.coalesce(docs[text], F.lit(""))))
+    digest = F.md5(F.concat(F.coalesce(column(doc_id).cast("string"), F.lit("")), F.lit(":"),
+                            F.coalesce(column(text), F.lit(""))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1.0) / F.lit(float(2 ** 52))
-    sized = docs.select(*[docs[c] for c in (docs.columns if carry is None else carry)],
-                        docs[source].alias(key), F.struct(
-        word_count(docs[text]).alias("size"), digest.alias("digest"),
-        (-F.log(u) / (quality_weight(docs[text]) if quality is None else quality)).alias("key")).alias(name))
+    sized = docs.select(*[column(c) for c in (docs.columns if carry is None else carry)],
+                        column(source).alias(key), F.struct(
+        word_count(column(text)).alias("size"), digest.alias("digest"),
+        (-F.log(u) / (quality_weight(column(text)) if quality is None else quality)).alias("key")).alias(name))
     if carry is not None:  # a small copy without the texts
         sized = materialize(sized, "sized")
     sized = sized.withColumn(part, F.floor((F.lit(1.0) - F.exp(-F.col(f"{name}.key"))) * RANGES).cast("int"))
@@ -113,12 +115,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = planned.where(F.col(part) != at).withColumn(extra, F.col(part) < at).unionByName(
         inside.withColumn(extra, middle <= F.col(f"{plan}.rest")))
     times = F.col(f"{plan}.epochs") + F.col(extra).cast("long")
-    return rows.select(*[rows[c] for c in (docs.columns if carry is None else carry)], F.struct(
+    return rows.select(*[column(c) for c in (docs.columns if carry is None else carry)], F.struct(
         F.col(f"{name}.size").alias("size"), F.col(f"{plan}.source_size").alias("source_size"),
         F.col(f"{plan}.target").alias("target"), times.alias("times"),
         (times * F.col(f"{name}.size")).alias("taken")).alias(name))
 
 
 def emit(mixed: DataFrame, name: str = "mix") -> DataFrame:
-    """Each document as often as the mix takes it, without the struct."""
-    return mixed.withColumn(name, F.explode(F.array_repeat(F.lit(1), F.col(f"{name}.times").cast("int")))).drop(name)
+    """Each document as often as the mix takes it, without the struct, which is
+    the column ``name`` of the mixed documents (:func:`mix` has it last)."""
+    copy = fresh("copy", mixed.columns)
+    taken = mixed.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(f"{name}.times").cast("int"))))
+    return taken.select(*[column(c) for c in mixed.columns if c != name])

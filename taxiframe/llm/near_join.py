@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxiframe.llm.common import fresh, materialize, row_key
+from taxiframe.llm.common import column, fresh, materialize, row_key
 
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.9995
@@ -309,4 +309,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     joined = docs.withColumn(key, row_key(docs[doc_id], docs[text])).join(
         kept.hint("shuffle_hash"), F.col(key) == F.col("_" + key))
     once, several = joined.where(F.col(rows) == 1), joined.where(F.col(rows) > 1).dropDuplicates([key])
-    return once.unionByName(several).select(docs.columns)
+    return once.unionByName(several).select(*[column(c) for c in docs.columns])

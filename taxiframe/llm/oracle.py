@@ -24,30 +24,24 @@ OP3 = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text,
                   md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS k,
                   regexp_extract_all(text, '[^\n]*?[.!?] +|[^\n]*\n|[^\n]+') AS us FROM documents),
-u AS (SELECT rid, doc_id, k, generate_subscripts(us, 1) - 1 AS i, unnest(us) AS u, len(us) AS n FROM d),
-h AS (SELECT *, ('0x' || substr(md5(rtrim(u, ' ' || chr(10))), 1, 8))::BIGINT AS h, u LIKE '%' || chr(10) AS e FROM u),
-p AS (SELECT *, lag(h) OVER w AS ph, coalesce(lag(e) OVER w, true) AS starts, i = n - 1 AS last
-      FROM h WINDOW w AS (PARTITION BY rid ORDER BY i)),
-a AS (SELECT *, starts AND (e OR last) AS alone FROM p),
-b AS (SELECT *, lag(alone) OVER w AS before, lead(alone) OVER w AS after FROM a
-      WINDOW w AS (PARTITION BY rid ORDER BY i)),
-c AS (SELECT *, last OR (e AND NOT (alone AND coalesce(after, false))) OR
-        ((h * 31 + CASE WHEN i > 0 AND (NOT starts OR (alone AND before)) THEN ph ELSE 0 END) >> 3) % 4 = 0 AS ends
-      FROM b),
-g AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY rid ORDER BY i
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk_no FROM c),
-chunks AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(k) AS k, chunk_no, min(i) AS first, count(*) AS n,
-                  rtrim(string_agg(u, '' ORDER BY i), ' ' || chr(10)) AS chunk FROM g GROUP BY rid, chunk_no),
-words AS (SELECT *, len(regexp_extract_all(chunk, '[^\x20\x09-\x0D]+')) AS words FROM chunks),
-able AS (SELECT * FROM words WHERE words >= 50 OR (n >= 2 AND words >= 10)),
-ranked AS (SELECT *, dense_rank() OVER (PARTITION BY chunk ORDER BY doc_id NULLS LAST, k, first) AS place FROM able),
-gone AS (SELECT rid, chunk_no, n FROM ranked WHERE place > 1),
-kept AS (SELECT g.rid, string_agg(g.u, '' ORDER BY g.i) AS text FROM g ANTI JOIN gone USING (rid, chunk_no)
-         GROUP BY g.rid),
-removed AS (SELECT rid, count(*) AS chunks, sum(n) AS units FROM gone GROUP BY rid)
+u AS (SELECT rid, doc_id, k, generate_subscripts(us, 1) - 1 AS i, unnest(us) AS u FROM d),
+v AS (SELECT *, rtrim(u, ' ' || chr(10)) AS unit, len(regexp_extract_all(u, '[^\x20\x09-\x0D]+')) AS words FROM u),
+l AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(k) AS k, list(unit ORDER BY i) AS us, list(words ORDER BY i) AS ws,
+             list(i ORDER BY i) AS ats FROM v WHERE words > 0 GROUP BY rid),
+f AS (SELECT *, unnest(range(len(ws))) AS first FROM l),
+c AS (SELECT *, CASE WHEN ws[first + 1] >= 50 THEN 1 ELSE list_filter(range(2, 11), lambda n:
+                first + n <= len(ws) AND list_sum(ws[first + 1:first + n]) >= 10)[1] END AS n FROM f),
+chunks AS (SELECT rid, doc_id, k, first, array_to_string(us[first + 1:first + n], chr(10)) AS chunk,
+                  ats[first + 1] AS a, ats[first + n] AS b FROM c WHERE n IS NOT NULL),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY chunk ORDER BY doc_id NULLS LAST, k, first) AS place FROM chunks),
+again AS (SELECT * FROM ranked WHERE place > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(a, b + 1)) AS i FROM again),
+kept AS (SELECT u.rid, string_agg(u.u, '' ORDER BY u.i) AS text FROM u ANTI JOIN gone USING (rid, i) GROUP BY u.rid),
+removed AS (SELECT rid, count(*) AS chunks FROM again GROUP BY rid),
+removed_units AS (SELECT rid, count(*) AS units FROM gone GROUP BY rid)
 SELECT d.doc_id, CASE WHEN r.rid IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text,
-       coalesce(r.chunks, 0)::BIGINT AS n_removed_chunks, coalesce(r.units, 0)::BIGINT AS n_removed_units
-FROM d LEFT JOIN removed r USING (rid) LEFT JOIN kept USING (rid)
+       coalesce(r.chunks, 0)::BIGINT AS n_removed_chunks, coalesce(e.units, 0)::BIGINT AS n_removed_units
+FROM d LEFT JOIN removed r USING (rid) LEFT JOIN removed_units e USING (rid) LEFT JOIN kept USING (rid)
 """
 
 OP4 = rf"""
@@ -93,16 +87,17 @@ m AS (SELECT rid, doc_id, source, len(w)::BIGINT AS n_words,
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS f0, 10 * n_symbols > n_words AS f1,
              10 * n_dup_lines > 3 * n_lines AS f2,
              word_chars < 3 * n_words OR word_chars > 12 * n_words AS f3 FROM m),
-h AS (SELECT source, count(*) AS n, [sum(f0::INT), sum(f1::INT), sum(f2::INT), sum(f3::INT)] AS k FROM f GROUP BY source),
-q AS (SELECT source, n, r, k[r] AS k FROM h, range(1, 5) t(r)),
+h AS (SELECT source, count(*) AS n, [sum(f1::INT), sum(f2::INT), sum(f3::INT)] AS k FROM f GROUP BY source),
+q AS (SELECT source, n, r, k[r] AS k FROM h, range(1, 4) t(r)),
 mo AS (SELECT r, least(greatest(avg(k / n), 1e-6), 1 - 1e-6) AS mean, var_pop(k / n) AS var FROM q GROUP BY r),
 pr AS (SELECT r, mean, CASE WHEN var > 0 THEN least(greatest(mean * (1 - mean) / var - 1, 2), 1000) ELSE 1000 END AS w
        FROM mo),
-bad AS (SELECT source, r, (k + mean * w) / (n + w) > 0.5 AS bad FROM q JOIN pr USING (r)),
-bh AS (SELECT source, bool_or(bad AND r = 1) AS b0, bool_or(bad AND r = 2) AS b1, bool_or(bad AND r = 3) AS b2,
-              bool_or(bad AND r = 4) AS b3 FROM bad GROUP BY source)
+sh AS (SELECT source, r, mean, n + w AS nw, (k + mean * w) / (n + w) AS rate FROM q JOIN pr USING (r)),
+bad AS (SELECT source, r, rate - sqrt(rate * (1 - rate) / (nw + 1)) > 1.25::DOUBLE * mean AS bad FROM sh),
+bh AS (SELECT source, bool_or(bad AND r = 1) AS b1, bool_or(bad AND r = 2) AS b2, bool_or(bad AND r = 3) AS b3
+       FROM bad GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 AS base_failed,
-       NOT (f0 OR (b0 AND f0) OR (b1 AND f1) OR (b2 AND f2) OR (b3 AND f3)) AS kept
+       NOT (f0 OR (b1 AND f1) OR (b2 AND f2) OR (b3 AND f3)) AS kept
 FROM f JOIN bh ON f.source IS NOT DISTINCT FROM bh.source
 """
 

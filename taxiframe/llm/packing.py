@@ -1,17 +1,26 @@
-"""Best-fit packing of tokenized documents by one plan over all lengths.
-
-Documents are tokenized and cut into pieces of at most ``size`` tokens. Best
-fit (largest piece first, into the sequence that it fits most closely) looks at
-lengths only, so it runs once over how many pieces there are of each length, at
-most ``size`` numbers: pieces of one length fill ranges of sequences of equal
-free space at a time, and the plan stays small whatever the table is. A piece
-finds its place by its rank among all pieces of its length: its rank in its
-task plus the pieces of that length in the tasks before. The sequences are
-those of one best fit in a single task, however the rows are dealt or sorted.
-
-A null text counts as empty (its only token is the end token); repeated rows
-are packed each time; an empty table gives an empty result. The ranked pieces
-are written to the shared folder, so a lost executor repeats its own task only.
+"""Hierarchical residual packing of tokenized documents.
+
+Documents are tokenized and cut into pieces of at most ``size`` tokens. The
+pieces of each length are dealt in turn to partitions of about ``part`` pieces, so
+that none sees long or short ones only, however the rows are sorted. A partition
+packs its pieces by best fit (largest first, into the sequence that they fit most
+closely). Sequences with at most ``slack`` tokens free are emitted; the underfull
+ones are items of the node above, which merges the items of ``fan_in`` nodes by
+best fit again, and so on to the root of the tree, which emits all that is left.
+
+Best fit looks at lengths only, so a node works on numbers of items by length (at
+most ``size`` of them) whatever the table is: no item is ever left out or held
+back, and a node's plan is a few thousand rules, each for a range of items of one
+length. On the way down each node hands its children the rules for their items,
+as ranges again. A piece finds its place by its rank among the pieces of its
+length: its rank in its task plus the pieces of that length in the tasks before.
+
+A null or empty text has the end token only; a very long text is cut into
+pieces; pieces of equal length are interchangeable, so ties change no count;
+repeated rows are packed each time; an empty table gives an empty result. The
+result has the operator's own columns only, so other columns can have any
+names. Pieces, plans and placements are written to the shared folder, so a lost
+executor repeats its own tasks only.
 """
 
 from __future__ import annotations
@@ -20,8 +29,10 @@ import base64
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +43,9 @@ from pyspark.sql import functions as F
 from taxiframe.llm.common import lookup, materialize
 
 SIZE, END = 1024, 2
-FAN_IN, CARRY = 16, 4096
+#: Pieces of a partition, nodes that a node merges, free tokens of a sequence
+#: that is as good as full.
+PART, FAN_IN, SLACK = 50_000, 16, 16
 #: Words whose ids a task keeps.
 CACHE = 400_000
 
@@ -113,48 +126,37 @@ def cut(ids: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
         yield piece, start, start + size
 
 
-def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
-    """Sequences of positions: largest first, each into the open sequence with
-    the least space that suffices."""
-    open_at: list[list[int]] = [[] for _ in range(size + 1)]  # by free space
-    spaces = 0  # bit i: a sequence with i free is open
-    out: list[list[int]] = []
-    for i in np.argsort(-lengths, kind="stable").tolist():
-        n = int(lengths[i])
-        fitting = spaces >> n
-        if fitting:
-            free = n + (fitting & -fitting).bit_length() - 1
-            b = open_at[free].pop()
-            if not open_at[free]:
-                spaces &= ~(1 << free)
-            out[b].append(i)
-        else:
-            free, b = size, len(out)
-            out.append([i])
-        left = free - n
-        if left:
-            open_at[left].append(b)
-            spaces |= 1 << left
-    return out
-
-
-def best_fit_plan(counts: np.ndarray, size: int) -> np.ndarray:
-    """``best_fit`` over ``counts[n]`` pieces of each length ``n``, as columns
-    ``length, rank, sequence, copies, offset``: from this rank on among the pieces
-    of the length, each sequence gets so many copies from this offset on."""
-    open_at: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # ranges of sequences by free space
-    spaces = sequences = 0
+def best_fit_plan(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best fit over ``counts[n]`` items of each length ``n``.
+
+    Rules ``length, low, high, bin, offset``: the items of this length and of the
+    ranks from ``low`` to before ``high`` go one each to the bins from ``bin`` on, at
+    this offset. Bins ``used, low, high``: the bins from ``low`` to before ``high``
+    hold so many tokens.
+    """
+    open_at: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]  # ranges of bins by free space
+    spaces = made = 0
     rules: list[tuple[int, int, int, int, int]] = []
+    bins: list[tuple[int, int, int]] = []
 
     def put(free: int, low: int, high: int) -> None:
         nonlocal spaces
         if free and low < high:
             open_at[free].append((low, high))
             spaces |= 1 << free
+        elif low < high:
+            bins.append((size, low, high))
+
+    def fill(n: int, rank: int, free: int, low: int, high: int, copies: int) -> int:
+        for k in range(copies):  # one item for each bin, then the next
+            rules.append((n, rank, rank + high - low, low, size - free + k * n))
+            rank += high - low
+        put(free - copies * n, low, high)
+        return rank
 
     for n in range(size, 0, -1):
-        rank, left = 0, int(counts[n])
-        while left:
+        rank, end = 0, int(counts[n])
+        while rank < end:
             fitting = spaces >> n
             if fitting:
                 free = n + (fitting & -fitting).bit_length() - 1
@@ -162,21 +164,54 @@ def best_fit_plan(counts: np.ndarray, size: int) -> np.ndarray:
                 if not open_at[free]:
                     spaces &= ~(1 << free)
             else:
-                free, low = size, sequences
-                sequences = high = low - (-left // (size // n))
-            # A sequence that got a piece and has room for another fits the next most closely.
-            copies = free // n
-            full = min(high - low, left // copies)
+                free, low = size, made
+                made = high = low - (-(end - rank) // (size // n))
+            # A bin that got an item and has room for another fits the next most closely.
+            full = min(high - low, (end - rank) // (free // n))
             if full:
-                rules.append((n, rank, low, copies, size - free))
-                put(free - copies * n, low, low + full)
-                rank, left, low = rank + full * copies, left - full * copies, low + full
-            if left and low < high:
-                rules.append((n, rank, low, left, size - free))
-                put(free - left * n, low, low + 1)
-                left, low = 0, low + 1
-            put(free, low, high)
-    return np.array(rules, np.int64).reshape(-1, 5)
+                rank = fill(n, rank, free, low, low + full, free // n)
+            if rank < end and low + full < high:
+                rank = fill(n, rank, free, low + full, low + full + 1, end - rank)
+                full += 1
+            put(free, low + full, high)
+    bins += [(size - free, low, high) for free, ranges in enumerate(open_at) for low, high in ranges]
+    return np.array(sorted(rules), np.int64).reshape(-1, 5), np.array(sorted(bins), np.int64).reshape(-1, 3)
+
+
+def underfull(bins: np.ndarray, size: int, slack: int, root: bool) -> np.ndarray:
+    """Whether a node passes bins on to the node above; the root emits all."""
+    return (bins[:, 0] < size - slack) & (not root)
+
+
+def placements(counts: np.ndarray, above: np.ndarray, first_id: int, size: int, slack: int, root: bool) -> np.ndarray:
+    """Where the items of a node end: rows ``length, low, high, sequence, offset``
+    as the rules of :func:`best_fit_plan`, with sequences in place of bins.
+    ``above``: such rows for the node's own underfull bins, which are ranked by
+    their place among those of the same length; ``first_id``: the id of bin 0."""
+    rules, bins = best_fit_plan(counts, size)
+    homes: list[tuple[int, int, int, int]] = []  # bins from, to; sequence and offset of the first one
+    ranks: dict[int, int] = {}
+    for passed, (used, low, high) in zip(underfull(bins, size, slack, root), bins.tolist(), strict=True):
+        if not passed:
+            homes.append((low, high, first_id + low, 0))
+            continue
+        start = ranks.get(used, 0)
+        ranks[used] = start + high - low
+        mine = above[(above[:, 0] == used) & (above[:, 2] > start) & (above[:, 1] < ranks[used])]
+        for _, a, b, sequence, offset in mine.tolist():
+            x, y = max(a, start), min(b, ranks[used])
+            homes.append((low + x - start, low + y - start, sequence + x - a, offset))
+    homes.sort()
+    starts = [h[0] for h in homes]
+    out = []
+    for n, rank, end, first, offset in rules.tolist():
+        k = bisect_right(starts, first) - 1
+        while k < len(homes) and homes[k][0] < first + end - rank:
+            low, high, sequence, shift = homes[k]
+            a, b = max(low, first), min(high, first + end - rank)
+            out.append((n, rank + a - first, rank + b - first, sequence + a - low, shift + offset))
+            k += 1
+    return np.array(out, np.int64).reshape(-1, 5)
 
 
 def ranks_within(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -221,10 +256,84 @@ def tokenize(docs: DataFrame, vocab: str | None = None, ranks: str | None = None
     return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, schema)
 
 
-def pack(pieces: DataFrame, size: int = SIZE, fan_in: int = FAN_IN, carry: int = CARRY) -> DataFrame:
+def _counts(table: pa.Table, size: int) -> np.ndarray:
+    counts = np.zeros(size + 1, np.int64)
+    np.add.at(counts, table.column("length").to_numpy(), table.column("n").to_numpy())
+    return counts
+
+
+def _table(names: str, rows: np.ndarray, **extra: int) -> pa.Table:
+    columns = {n: pa.array(rows[:, i], pa.int64()) for i, n in enumerate(names.split())}
+    return pa.table({**{n: pa.array([v] * len(rows), pa.int64()) for n, v in extra.items()}, **columns})
+
+
+def _id(level: int, node: int) -> int:
+    """The id of the first sequence of a node: its level and number before 32
+    bits for the sequence."""
+    return (level << 27 | node) << 32
+
+
+def merge_tree(leaves: DataFrame, nodes: int, size: int = SIZE, fan_in: int = FAN_IN, slack: int = SLACK) -> DataFrame:
+    """``node, length, low, high, sequence, offset`` for the pieces of the leaves:
+    the rows of :func:`placements`, for ``leaves`` (``node, length, n``) with the
+    numbers 0 to ``nodes`` - 1."""
+    levels, last = [leaves], nodes - 1
+    # Upwards: the underfull bins of the children are the items of a node.
+    while last:
+        passed = levels[-1].groupBy("node").applyInArrow(lambda key, table: _passed(key, table, size, slack),
+                                                         "node long, length long, n long")
+        within = Window.partitionBy("parent", "length").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+        up = passed.withColumn("parent", F.floor(F.col("node") / fan_in)).withColumn(
+            "start", F.coalesce(F.sum("n").over(within), F.lit(0)))
+        levels.append(materialize(up.select(F.col("parent").alias("node"), F.col("node").alias("child"), "length", "n",
+                                            "start"), "packing-items"))
+        last = last // fan_in
+    # Downwards: a child gets the part of the rows that its items have.
+    rows = "node long, length long, low long, high long, sequence long, offset long"
+    above = leaves.sparkSession.createDataFrame([], rows)
+    for level in range(len(levels) - 1, -1, -1):
+        items, root = levels[level], level == len(levels) - 1
+        placed = materialize(items.groupBy("node").cogroup(above.groupBy("node")).applyInArrow(
+            _placer(level, size, slack, root), rows), "packing-places")
+        if level:
+            low = F.greatest(F.col("low"), F.col("start"))
+            high = F.least(F.col("high"), F.col("start") + F.col("n"))
+            above = items.join(placed, ["node", "length"]).where(
+                (F.col("high") > F.col("start")) & (F.col("low") < F.col("start") + F.col("n"))).select(
+                F.col("child").alias("node"), "length", (low - F.col("start")).alias("low"),
+                (high - F.col("start")).alias("high"), (F.col("sequence") + low - F.col("low")).alias("sequence"), "offset")
+    return placed
+
+
+def _passed(key, table: pa.Table, size: int, slack: int) -> pa.Table:
+    """The underfull bins of a node as numbers by length."""
+    bins = best_fit_plan(_counts(table, size), size)[1]
+    bins = bins[underfull(bins, size, slack, False)]
+    counts = np.zeros(size + 1, np.int64)
+    np.add.at(counts, bins[:, 0], bins[:, 2] - bins[:, 1])
+    lengths = np.flatnonzero(counts)
+    return _table("length n", np.column_stack([lengths, counts[lengths]]).astype(np.int64), node=key[0].as_py())
+
+
+def _placer(level: int, size: int, slack: int, root: bool):
+    """A function of a node's items and the rows that the node above has for it."""
+    names = "length low high sequence offset"
+
+    def place(items: pa.Table, above: pa.Table) -> pa.Table:
+        if not items.num_rows:
+            return _table(names, np.zeros((0, 5), np.int64), node=0)
+        node = items.column("node")[0].as_py()
+        rows = np.column_stack([above.column(n).to_numpy() for n in names.split()]).astype(np.int64).reshape(-1, 5)
+        return _table(names, placements(_counts(items, size), rows, _id(level, node), size, slack, root), node=node)
+
+    return place
+
+
+def pack(pieces: DataFrame, size: int = SIZE, part: int = PART, fan_in: int = FAN_IN, slack: int = SLACK) -> DataFrame:
     """``pieces`` (``doc_id, piece, start, length, ids_crc32``) with
-    ``sequence_id`` and ``offset``. ``fan_in`` and ``carry`` bounded a tree of
-    tasks that there was; they are accepted and change nothing."""
+    ``sequence_id`` and ``offset``. ``part``: pieces of a partition; ``fan_in``: nodes
+    that a node of the tree merges; ``slack``: free tokens with which a sequence
+    counts as full."""
     kind = pieces.schema["doc_id"].dataType.simpleString()
     fields = PIECE.format(id=kind)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -240,26 +349,22 @@ def pack(pieces: DataFrame, size: int = SIZE, fan_in: int = FAN_IN, carry: int =
     rows = materialize(pieces.select(names).mapInArrow(ranked, fields + ", task long, rank long"), "ranked-pieces")
     slot = (F.col("task") * (size + 1) + F.col("length")).alias("slot")
     by_task = materialize(rows.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
-    counts = np.zeros(size + 1, np.int64)
-    for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # a row per length
-        counts[r["length"]] = r["n"]
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     earlier = by_task.select(slot, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     # The small table is read twice (its size, the join), so it is written once.
     earlier = materialize(earlier.withColumnRenamed("slot", "of_slot"), "piece-offsets")
-    plan = best_fit_plan(counts, size)
-    plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (plan[:, 0] << 48) + plan[:, 1]
-        for batch in batches:
-            length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
-            rule = plan[np.searchsorted(key, (length << 48) + rank, side="right") - 1]
-            nth = rank - rule[:, 1]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(rule[:, 2] + nth // rule[:, 3], pa.int64()),
-                 pa.array(rule[:, 4] + nth % rule[:, 3] * length, pa.int64())], [*names, "sequence_id", "offset"])
-
-    whole = lookup(rows.select("*", slot), earlier, "slot", "of_slot", F.col("rank"))
-    return whole.select(*names, (F.col("rank") + F.col("earlier")).alias("rank")).mapInArrow(
-        placed, fields + ", sequence_id long, offset long")
+    whole = lookup(rows.select("*", slot), earlier, "slot", "of_slot", F.col("rank")).withColumn(
+        "rank", F.col("rank") + F.col("earlier"))
+
+    # Leaves of equal shares: the pieces of a length go to them in turn.
+    totals = by_task.groupBy("length").agg(F.sum("n").alias("total"))
+    nodes = max(1, ceil((totals.agg(F.sum("total")).first()[0] or 0) / part))
+    share = F.floor((F.col("total") - F.col("node") + nodes - 1) / nodes).alias("n")
+    leaves = materialize(totals.select("length", "total", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(nodes - 1).cast("long"))).alias("node")).select("node", "length", share).where("n > 0"), "packing-leaves")
+    placed = merge_tree(leaves, nodes, size, fan_in, slack).withColumnsRenamed({"node": "leaf", "length": "of_length"})
+    dealt = whole.select(*names, (F.col("rank") % nodes).alias("in_leaf"), F.floor(F.col("rank") / nodes).alias("nth"))
+    # The ranges of a length in a leaf don't overlap, and each rank is in one.
+    here = (F.col("in_leaf") == F.col("leaf")) & (F.col("length") == F.col("of_length")) & (
+        F.col("nth") >= F.col("low")) & (F.col("nth") < F.col("high"))
+    return dealt.join(placed, here).select(*names, (F.col("sequence") + F.col("nth") - F.col("low")).alias("sequence_id"), "offset")

@@ -39,6 +39,8 @@ from taxiframe.llm.common import fresh
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "account")
 CUES = ("iban", "ssn", "account", "passport")
+#: A-Z in lower case; every character keeps its place.
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,10 +58,8 @@ IBAN = re.compile(LEAD + r"([A-Z]{2}[0-9]{2}(?:[ -]?[A-Z0-9]{1,4})*)")
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     anchors = [("@", "email"), ("+", "phone"), ("://", "login"), *[(d, "digit") for d in sorted(DIGITS)]]
-    for cue in CUES:
-        anchors += [(form, "account") for form in (cue, cue.upper(), cue.capitalize())]
-    for text, kind in anchors:
-        found.add_word(text, (kind, len(text), text.lower()))
+    for text, kind in [*anchors, *[(cue, "account") for cue in CUES]]:
+        found.add_word(text, (kind, len(text), text))
     found.make_automaton()
     return found
 
@@ -111,7 +111,7 @@ def expand(text: str) -> list[tuple[str, int, int]]:
         if ok:
             spans[kind].append((start, end))
 
-    for last, (kind, length, cue) in automaton().iter(text):
+    for last, (kind, length, cue) in automaton().iter(text.translate(LOWER)):  # cues in any case
         at = last - length + 1
         if kind == "digit":
             if at >= after["ip"] and not (at > after["ip"] and text[at - 1] in DIGITS) and (m := IP.match(text, at)):
@@ -158,7 +158,8 @@ def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     only = lambda *kinds: F.filter("pii", lambda s: s["kind"].isin(*kinds))
     return found.select(
         "doc_id", *[F.size(only(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
-        F.sha2(listed(only(*BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
+        F.sha2(listed(only(*BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"),
+        F.size("pii").cast("long").alias("n_spans"))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -65,7 +65,7 @@ def test_pii_base_spans(given):
         spans = brute_pii(r["text"] or "")
         n = Counter(k for k, _, _ in spans)
         want[(r["doc_id"], n["email"], n["ip"], n["card"], n["phone"], digest(spans))] += 1
-    assert counted(got.drop("spans")) == want
+    assert counted(got.drop("spans", "n_spans")) == want
 
 
 @pytest.mark.parametrize("text", [
@@ -75,6 +75,11 @@ def test_pii_of_hard_texts(text):
     assert [s for s in pii.expand(text) if s[0] in pii.BASE_KINDS] == brute_pii(text)
 
 
+@pytest.mark.parametrize("cue", ["iban", "IBAN", "Iban", "IbAn", "iBAN no."])
+def test_pii_cues_in_any_case(cue):
+    assert pii.expand(f"\u0130\u00df {cue}: GB82 WEST 1234 5698 7654 32 x")[-1][0] == "account"
+
+
 def test_pii_of_random_texts():
     rnd = np.random.default_rng(5)
     for _ in range(3000):
@@ -158,15 +163,22 @@ def test_host_verdicts(spark):
     data = [(i, noisy, "bad") for i in range(30)] + [(100, good, "bad"), (101, noisy, "fine"), (103, noisy, None)]
     data += [(200 + i, good, "fine") for i in range(30)] + [(300, "short", "fine"), (301, None, None)]
     data += [(400 + i, good + f" x{i}", f"h{i}") for i in range(10)]
+    data += [(500 + i, noisy if i % 4 == 0 else good, "often") for i in range(80)]  # well above the mean, far below a half
+    data += [(600 + i, noisy if i == 0 else good, "seldom") for i in range(80)]
     docs = spark.createDataFrame(data, "doc_id long, text string, source string")
     kept = {r["doc_id"]: r["kept"] for r in host_rules.apply_rules(docs).collect()}
     assert not any(kept[i] for i in range(30)) and kept[100] and kept[101]
     assert not kept[300] and not kept[301] and all(kept[200 + i] for i in range(30))
+    assert [kept[500 + i] for i in range(80)] == [i % 4 != 0 for i in range(80)]
+    assert kept[101] and kept[103] and all(kept[600 + i] for i in range(80))
 
 
 def test_host_rules_keep_columns_and_rows(docs):
     got = host_rules.apply_rules(docs)
     assert got.columns == [*docs.columns, "_quality", "base_failed", "kept"]
+    again = host_rules.apply_rules(got)
+    assert again.columns == [*got.columns, "__quality", "_base_failed", "_kept"]
+    assert again.where("kept != _kept").count() == 0
     assert counted(got.select(docs.columns)) == counted(docs)
     assert host_rules.apply_rules(docs.limit(0)).count() == 0
 
@@ -214,14 +226,14 @@ def brute_fingerprint(text):
         lambda seed, x: xxhash.xxh64_intdigest(x.to_bytes(8, "little", signed=True), seed), xs, 42)
     found = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % fingerprints.LETTER, text)
     h = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in found]
+    picked = []
     if len(h) >= k:
         inner = [signed(of_longs(h[i:i + s])) for i in range(len(h) - s + 1)]
-        picked = []
         for i in range(len(h) - k + 1):
             window = inner[i:i + k - s + 1]
             if min(window) in (window[0], window[-1]):
                 picked.append(of_longs(window[::s]))
-    else:
+    if not picked:
         a = 0
         for x in h:
             a = signed(of_longs([a, x]))
@@ -256,6 +268,15 @@ def test_edited_fingerprints(given):
     assert got == want
 
 
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    """Texts without a syncmer are not all alike."""
+    rnd = np.random.default_rng(8)
+    data = [(" ".join(f"w{x}" for x in rnd.integers(0, 1000, n)),) for n in range(1, 12) for _ in range(40)]
+    got = {r["text"]: r["fingerprint"] for r in fingerprints.fingerprints(spark.createDataFrame(data, "text string")).collect()}
+    assert all(got.values()) and len(set(got.values())) == len(got)
+    assert all(got[t] == brute_fingerprint(t) for t in got)
+
+
 def test_fingerprint_of_moved_passage(spark):
     shared = " ".join(f"w{i * i % 997}" for i in range(400))
     docs = spark.createDataFrame([("intro here " + shared,), (shared + " and an end",), ("other " * 3,)], "text string")
