@@ -294,10 +294,14 @@ def _wkt(lon: str, lat: str) -> str:
     return f"'POINT(' || {_coord_text(_pc(lon))} || ' ' || {_coord_text(_pc(lat))} || ')'"
 
 
-# Tips are whole cents: the average is rounded once, from integers.
-_TIP = "CASE WHEN abs(round(d.tip * 100)) <= 1000000000000 THEN round(d.tip * 100)::HUGEINT END"
-_AVG_TIP = (f"CASE WHEN count({_TIP}) > 0 THEN CAST(sign(sum({_TIP})) * ((20 * abs(sum({_TIP})) + count({_TIP})) "
-            f"// (2 * count({_TIP}))) AS DOUBLE) / 1000 END")
+# Tips are whole cents: the average is rounded once, from integers; that of a
+# zone with a tip beyond them is one of doubles.
+_SMALL = "abs(round(d.tip * 100)) <= 1000000000000"
+_TIP = f"CASE WHEN {_SMALL} THEN round(d.tip * 100)::HUGEINT END"
+_LARGE = f"CASE WHEN NOT ({_SMALL}) THEN d.tip END"
+_AVG_TIP = (f"CASE WHEN count({_LARGE}) > 0 THEN round((coalesce(sum({_TIP}), 0)::DOUBLE / 100 + sum({_LARGE})) "
+            f"/ count(d.tip), 3) WHEN count({_TIP}) > 0 THEN CAST(sign(sum({_TIP})) * ((20 * abs(sum({_TIP})) + "
+            f"count({_TIP})) // (2 * count({_TIP}))) AS DOUBLE) / 1000 END")
 # The first column that fails to parse ends the test; otherwise the first
 # column with |value| >= 0.01 keeps the row (nan is not >= anything).
 _C5 = "CASE " + " ".join(
@@ -496,6 +500,9 @@ manifest AS (
 )
 """
 
+_VENDORS = """SELECT r.VendorID, r.trip_distance, coalesce(s.s_name, ':') AS vendor_name
+  FROM trips_raw r LEFT JOIN supplier s ON s.s_suppkey::VARCHAR = r.VendorID"""
+
 ORACLE.update({
     "select_months": UP_TO_RAW + f"SELECT * FROM trips_raw WHERE {_MONTH_FILTER}",
     "file_manifest": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length, name, month, part,
@@ -503,13 +510,34 @@ ORACLE.update({
         '/data/raw/' || name || '.csv' AS raw_path,
         '/data/staging/' || name AS staging_path
       FROM manifest WHERE contains(file_name, '1996')""",
-    "new_files": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length, month, part
-      FROM manifest WHERE CAST(part AS INTEGER) % 2 = 1 OR part = '04'""",
+    "new_files": UP_TO_RAW.rstrip() + _FILES + """SELECT 'stream' AS step, file_name, length FROM manifest
+      WHERE month NOT LIKE '%-0_'
+      UNION ALL SELECT 'wrong', file_name, length FROM manifest WHERE name = 'yellow_tripdata_1996-03_04'""",
+    "load_ledger": UP_TO_RAW.rstrip() + _FILES + """SELECT file_name, length,
+        CASE WHEN name = 'yellow_tripdata_1996-03_04' THEN 3 ELSE 1 END::BIGINT AS n_loads FROM manifest""",
     "file_count": UP_TO_RAW.rstrip() + _FILES + """SELECT count(*) AS n_files
       FROM manifest WHERE contains(file_name, '1996')""",
-    "model_incremental": UP_TO_MODEL.replace("FROM classified WHERE reject_reason IS NULL",
-        "FROM classified WHERE reject_reason IS NULL AND regexp_extract(source_file, '_([0-9]+)[.]csv', 1) IN "
-        "('00', '01')") + "SELECT * FROM trips_pickup",
+    "model_incremental": UP_TO_MODEL + "SELECT * FROM trips_pickup",
+    "model_incremental_data": UP_TO_MODEL + "SELECT * FROM trips_data",
+    "index_days": UP_TO_MODEL + "SELECT day, count(*) AS n_rows FROM trips_pickup GROUP BY day",
+    "trips_in_range": UP_TO_MODEL + """SELECT * FROM trips_pickup WHERE day BETWEEN DATE '1995-02-01' AND DATE '1997-08-15'
+      AND geohash BETWEEN 'dr5r' AND 'dr5x5'""",
+    "tables_by_name": UP_TO_MODEL + "SELECT * FROM trips_dropoff",
+    "columns_by_file": UP_TO_LOAD.replace("1, 6) AS id", "1, 6) AS id, source_file").replace(
+        "    dropoff_geom\n", "    dropoff_geom, source_file\n") + """SELECT * EXCLUDE (source_file) REPLACE (
+        CASE WHEN regexp_extract(source_file, '_([0-9]+)[.]csv', 1)::INTEGER % 2 = 0 THEN 0.0
+        WHEN passenger_count = 0 THEN NULL ELSE improvement_surcharge END AS improvement_surcharge) FROM load""",
+    "lookup_vendor": UP_TO_RAW + _VENDORS,
+    "lookup_vendor_shuffled": UP_TO_RAW + _VENDORS,
+    "profile_retention": TYPED.rstrip() + "," + _TRIM_BOUNDS + f""",
+kept AS (SELECT 1 AS step, count(*) AS n FROM trimmed UNION ALL
+  SELECT 2, count(*) FROM trimmed WHERE {_DUR} UNION ALL
+  SELECT 3, count(*) FROM trimmed WHERE {_DUR} AND {_CODES_KNOWN} UNION ALL
+  SELECT 4, count(*) FROM trimmed WHERE {_DUR} AND {_CODES_KNOWN} AND {_AMOUNTS_NONZERO} UNION ALL
+  SELECT 0, count(*) FROM typed)
+SELECT step::INTEGER AS step, ['raw', 'quantile_trim', 'duration', 'unknown_code', 'zero_amount'][step + 1] AS rule,
+  n AS rows_left, round(n / first_value(n) OVER w, 6) AS share_left,
+  round(n / coalesce(lag(n) OVER w, n), 6) AS share_kept FROM kept WINDOW w AS (ORDER BY step)""",
     "read_raw": UP_TO_RAW + f"SELECT {RAW_COLS} FROM trips_raw",
     "read_staged": UP_TO_STAGED + "SELECT * FROM staged",
     "append_tmp": UP_TO_LOAD + "SELECT * FROM load",

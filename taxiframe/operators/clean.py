@@ -122,8 +122,9 @@ def _staged_projection() -> list[Column]:
     return out
 
 
-def staged_view(classified: DataFrame) -> DataFrame:
-    """The 22 staged columns of the accepted rows (``trips_staged``).
+def staged_view(classified: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The 22 staged columns of the accepted rows (``trips_staged``), and those
+    named in ``extra``.
 
     Accepted rows are emitted by exploding a zero-or-one element array rather
     than by a filter: the acceptance test needs every parsed value, and a
@@ -132,7 +133,7 @@ def staged_view(classified: DataFrame) -> DataFrame:
     """
     row = F.struct(*_staged_projection())
     kept = F.when(F.col("reject_reason").isNull(), F.array(row))
-    return classified.select(F.explode(kept).alias("_staged")).select("_staged.*")
+    return classified.select(F.explode(kept).alias("_staged"), *extra).select("_staged.*", *extra)
 
 
 def quarantine_view(classified: DataFrame, extra: list[str] | None = None) -> DataFrame:

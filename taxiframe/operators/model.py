@@ -2,20 +2,21 @@
 
 ``conform_schema`` turns staged trips into the load table ``tripdata_tmp``;
 ``pickup_points``, ``dropoff_points`` and ``trip_data`` are projections of the
-load table (no join, no shuffle). Writers partition each table by day and sort
-inside files by its cluster keys so Parquet min/max statistics prune reads.
-A load of some parts rebuilds the days that these parts touch, before or
-after, from the whole load table.
+load table (no join). Tables are stored in month folders, in files sorted by day
+and cluster keys: the file index (``sources.file_index``) and the statistics of
+the files prune reads by day and key. Loads of some parts are in
+``sources.journal``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxiframe.functions import datetimes, geo, numbers
 from taxiframe.schemas import LOAD_DEFAULTS, LOAD_FIELDS
-from taxiframe.session import all_partitions
 
 GEOHASH_PRECISION = 7
 AMOUNT_FIELDS = [("fare", "fare_amount"), ("extra", "extra"), ("mta", "mta_tax"),
@@ -95,28 +96,56 @@ def trip_data(load: DataFrame, run_ts: str | Column | None = None) -> DataFrame:
     ).withColumn("day", datetimes.day_of("pickup_timestmp"))
 
 
+# --- fixed values: the cluster keys of the tables -----------------------------
 MODEL_CLUSTER_KEYS = {
     "trips_pickup": ["geohash"],
     "trips_dropdown": ["geohash"],
     "trips_data": ["passenger_count", "trip_minutes"],
 }
+# --- end of fixed values ------------------------------------------------------
+
+
+def sort_keys(name: str) -> list[str]:
+    """Order inside a model table: day, cluster keys, and the time, which
+    spreads many rows of one day and key over tasks."""
+    time = "pickup_timestmp" if name == "trips_data" else "timestmp"
+    return ["day", *MODEL_CLUSTER_KEYS[name], time]
+
+
+#: Folders of a stored table: one for each month, so that their number stays
+#: small beside that of the files; days are found by the file index and by the
+#: statistics of the files, which are sorted by day.
+FOLDER = "month"
+#: Bytes that a task writes at most, and that one core takes before another one
+#: shares the work.
+TASK_BYTES, CORE_BYTES = 256 << 20, 1 << 20
+
 
+def month_of(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
 
-def write_days(df: DataFrame, path: str, cluster_keys: list[str], replace: str = "dynamic") -> None:
-    """Write partitioned by ``day``, clustered by ``cluster_keys``.
 
-    Rebalancing on the day brings a day to one task and splits a day that holds
-    a third of all rows, without a sampling pass over the projection; rows are
-    sorted by the cluster keys inside a file for min/max pruning. ``replace``:
-    the days that are written (dynamic) or the whole table (static), whose tasks
-    move their own files into place.
-    """
-    writer = (df.hint("rebalance", "day").sortWithinPartitions("day", *cluster_keys)
-              .write.mode("overwrite").option("partitionOverwriteMode", replace))
-    if replace == "static":
-        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    with all_partitions(df.sparkSession):
-        writer.partitionBy("day").parquet(path)
+def write_parts(spark: SparkSession, n_bytes: int) -> int:
+    """Tasks of a write of rows that take so many bytes."""
+    shared = min(spark.sparkContext.defaultParallelism, n_bytes // CORE_BYTES)
+    return max(1, shared, -(-n_bytes // TASK_BYTES))
+
+
+def laid_out(df: DataFrame, month: Column, keys: list[str], parts: int) -> DataFrame:
+    """``df`` with its folder, dealt by ranges of the month and the keys to
+    ``parts`` tasks and sorted by them (A14): a file holds adjacent days, or a
+    part of one day where a day is large, however the days are skewed."""
+    if FOLDER in df.columns:
+        raise ValueError(f"the table has a column {FOLDER!r}")
+    order = [FOLDER, *keys]
+    return df.withColumn(FOLDER, month).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+
+
+def write_table(df: DataFrame, path: str, month: Column, keys: list[str], parts: int, mode: str = "append") -> None:
+    """Write rows as files of a stored table. The files count once the file
+    index names them, so tasks may move their own files into place."""
+    (laid_out(df, month, keys, parts).write.mode(mode).option("partitionOverwriteMode", "static")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(FOLDER).parquet(path))
 
 
 def model_tables(load: DataFrame, run_ts: str | Column | None = None,
@@ -140,42 +169,15 @@ REQUIRED = ("custom_id", "geohash")
 
 
 def write_model(load: DataFrame, model_dir: str, run_ts: str | Column | None = None,
-                compat_dropoff: bool = False) -> dict[str, str]:
-    """Write the three model tables of the whole load table under ``model_dir``;
-    returns their paths. One scan of ``load`` for each table."""
-    paths = {}
-    for name, df in model_tables(load, run_ts, compat_dropoff).items():
-        paths[name] = f"{model_dir.rstrip('/')}/{name}"
-        write_days(df, paths[name], MODEL_CLUSTER_KEYS[name], "static")
+                compat_dropoff: bool = False, parts: int | None = None) -> dict[str, str]:
+    """Write the three model tables of the whole load table under ``model_dir``,
+    side by side; returns their paths. One scan of ``load`` for each table (and
+    one of its sort keys). ``parts``: tasks of a write (see :func:`write_parts`)."""
+    tables = model_tables(load, run_ts, compat_dropoff)
+    paths = {name: f"{model_dir.rstrip('/')}/{name}" for name in tables}
+    parts = parts or load.sparkSession.sparkContext.defaultParallelism
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for write in [pool.submit(write_table, df, paths[n], month_of(F.col("day")), sort_keys(n), parts, "overwrite")
+                      for n, df in tables.items()]:
+            write.result()
     return paths
-
-
-def load_days(load: DataFrame) -> DataFrame:
-    """``(pickup_day, dropoff_day)`` pairs of load rows, each once."""
-    day = lambda c: datetimes.day_of(datetimes.parse_datetime(c))
-    return load.select(day("tpep_pickup_datetime").alias("pickup_day"),
-                       day("tpep_dropoff_datetime").alias("dropoff_day")).distinct()
-
-
-def rebuild_days(load: DataFrame, touched: DataFrame, model_dir: str,
-                 run_ts: str | Column | None = None, compat_dropoff: bool = False) -> dict[str, list]:
-    """Rewrite the days of the model tables that ``touched`` (see
-    :func:`load_days`) names from the whole load table, so the days keep the
-    rows of every other part. Returns, by table, the days that end empty."""
-    pairs = touched.collect()  # days, not rows
-    empty = {}
-    for name, table in model_tables(load, run_ts, compat_dropoff).items():
-        source = DAY_SOURCE[name]
-        column = "pickup_day" if source == "tpep_pickup_datetime" else "dropoff_day"
-        days = sorted({r[column] for r in pairs if r[column] is not None})
-        if not days:
-            empty[name] = []
-            continue
-        # As literals the days also prune the load files by their statistics.
-        part = table.where(F.col("day").isin(days))
-        path = f"{model_dir.rstrip('/')}/{name}"
-        write_days(part, path, MODEL_CLUSTER_KEYS[name])
-        present = {r[0] for r in load.select(datetimes.day_of(datetimes.parse_datetime(source)).alias("day"))
-                   .where(F.col("day").isin(days)).distinct().collect()}
-        empty[name] = [d for d in days if d not in present]
-    return empty

@@ -9,6 +9,9 @@ column) that become filter literals.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +92,12 @@ def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM,
     ``exact=False`` takes the bounds from a bounded sketch instead (one pass
     per stage, for full-history runs).
     """
+    return df.filter(trim_condition(df, probs, exact))
+
+
+def trim_condition(df: DataFrame, probs: tuple[float, float] = TRIM, exact: bool = True) -> Column:
+    """Whether a row of ``df`` is inside the quantile ranges; the bounds are
+    found here and are literals of the condition."""
     low, high = probs
     def within(c: str, bounds: tuple) -> Column:
         return F.lit(False) if None in bounds else F.col(c).between(*bounds)
@@ -97,9 +106,8 @@ def quantile_trim(df: DataFrame, probs: tuple[float, float] = TRIM,
     inside = {c: within(c, lon[c]) for c in lon}
     lat = quantile_bounds(df, [PICKUP[1], DROPOFF[1]], low, high, exact=exact,
                           where={PICKUP[1]: inside[PICKUP[0]], DROPOFF[1]: inside[DROPOFF[0]]})
-    keep = (inside[PICKUP[0]] & within(PICKUP[1], lat[PICKUP[1]])
+    return (inside[PICKUP[0]] & within(PICKUP[1], lat[PICKUP[1]])
             & inside[DROPOFF[0]] & within(DROPOFF[1], lat[DROPOFF[1]]))
-    return df.filter(keep)
 
 
 def duration_ok(pickup: str = "tpep_pickup_datetime",
@@ -125,6 +133,36 @@ def drop_zero_amounts(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     return df.withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in cols}).dropna("any", subset=cols)
 
 
+def profile_rules(df: DataFrame, probs: tuple[float, float] = TRIM, exact: bool = True) -> dict[str, Column]:
+    """The rules of the profile chain in order, true where a row of the typed
+    view passes. Each is a condition on the row alone once the quantile bounds
+    are known: the chain takes the bounds before its other rules."""
+    known = [F.col(c).isNotNull() for c in CODE_TABLES]
+    nonzero = [F.col(c) != 0 for c in nonzero_amount_columns(RAW_COLUMNS)]
+    return {"quantile_trim": trim_condition(df, probs, exact), "duration": duration_ok(),
+            "unknown_code": reduce(and_, known), "zero_amount": reduce(and_, nonzero)}
+
+
+def first_failed(rules: dict[str, Column]) -> Column:
+    """The name of the first rule that a row doesn't pass (a rule whose values
+    are missing isn't passed); null where it passes all."""
+    expr = None
+    for name, passes in rules.items():
+        fails = ~F.coalesce(passes, F.lit(False))
+        expr = F.when(fails, F.lit(name)) if expr is None else expr.when(fails, F.lit(name))
+    return expr
+
+
+def profile_retention(df: DataFrame, probs: tuple[float, float] = TRIM, exact: bool = True) -> DataFrame:
+    """E9 for the profile chain: ``(step, rule, rows_left, share_left,
+    share_kept)`` with the rows left after each rule, their share of all rows
+    and of the rows that the rule before left. Apart from the bounds it takes
+    one pass: every row is counted once, by the first rule that it fails. An
+    empty table has 0 rows at each step and no shares (null)."""
+    rules = profile_rules(df, probs, exact)
+    return retention(df.select(first_failed(rules).alias("reject_reason")), list(rules))
+
+
 def profile_clean(raw: DataFrame) -> DataFrame:
     """H8: the notebook's chain C7 -> C9 -> C8 -> C10 -> C11."""
     return clean_typed(typed(raw))
@@ -137,20 +175,25 @@ def clean_typed(df: DataFrame) -> DataFrame:
             .transform(drop_unknown_codes).transform(drop_zero_amounts))
 
 
+def retention(judged: DataFrame, rules: list[str]) -> DataFrame:
+    """``(step, rule, rows_left, share_left, share_kept)`` for rows that have
+    the name of the first rule they fail as ``reject_reason``: one pass of
+    conditional sums, then ``len(rules) + 1`` rows."""
+    reason = F.col("reject_reason")
+    counts = judged.agg(F.count(F.lit(1)).alias("raw"), *[F.count_if(reason == r).alias(r) for r in rules])
+    left, steps = F.col("raw"), [("raw", F.col("raw"))]
+    for r in rules:
+        left = left - F.col(r)
+        steps.append((r, left))
+    rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("rule"), e.alias("rows_left"),
+                              steps[max(i - 1, 0)][1].alias("before")) for i, (name, e) in enumerate(steps)])
+    out = counts.select("raw", F.explode(rows).alias("s")).select("raw", "s.*")
+    share = lambda part, whole: F.round(F.try_divide(F.col(part), F.col(whole)), 6)
+    return out.select("step", "rule", F.col("rows_left").cast("bigint").alias("rows_left"),
+                      share("rows_left", "raw").alias("share_left"), share("rows_left", "before").alias("share_kept"))
+
+
 def stage_retention(classified: DataFrame) -> DataFrame:
     """Rows left after each staging rule, from one pass over the
     reject reasons: ``(step, rule, rows_left, share_left)``."""
-    reason = F.col("reject_reason")
-    aggs = [F.count(F.lit(1)).alias("raw")]
-    aggs += [F.sum((reason == r).cast("bigint")).alias(r) for r in clean.REASONS]
-    counts = classified.agg(*aggs)
-    left, exprs = F.col("raw"), [("raw", F.col("raw"))]
-    for r in clean.REASONS:
-        left = left - F.coalesce(F.col(r), F.lit(0))
-        exprs.append((r, left))
-    stacked = counts.select(*[e.alias(f"s{i}") for i, (_, e) in enumerate(exprs)], "raw")
-    parts = ", ".join(f"{i}, '{name}', s{i}" for i, (name, _) in enumerate(exprs))
-    out = stacked.selectExpr(f"stack({len(exprs)}, {parts}) AS (step, rule, rows_left)", "raw")
-    return out.select(F.col("step").cast("int").alias("step"), "rule",
-                      F.col("rows_left").cast("bigint").alias("rows_left"),
-                      F.round(F.col("rows_left") / F.col("raw"), 6).alias("share_left"))
+    return retention(classified, clean.REASONS).drop("share_kept")

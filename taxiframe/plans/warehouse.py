@@ -25,9 +25,12 @@ from taxiframe.operators import model, profile
 from taxiframe.plans import trips
 from taxiframe.schemas import RAW_COLUMNS
 from taxiframe.session import shared_dir
+from taxiframe.sources import file_index, folders, journal
 from taxiframe.sources.derived import _landing_key, publish, raw_trips
 
 TABLES = ("trips_pickup", "trips_dropdown", "trips_data")
+#: The version of the file indexes of a warehouse that is built as a whole.
+BUILT = "built"
 
 
 @lru_cache(maxsize=1)
@@ -42,31 +45,45 @@ def code_version() -> str:
     return h.hexdigest()[:12]
 
 
-def _jpath(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+def _built(spark: SparkSession, final: str, write: Callable[[str], None]) -> str:
+    """The folder ``final``, which ``write(path)`` makes where it isn't complete:
+    under a name of its own that is then moved, or removed if the write fails."""
+    if not folders.exists(spark, f"{final}/_BUILT"):
+        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+        try:
+            write(tmp)
+        except BaseException:
+            folders.delete(spark, tmp)
+            raise
+        folders.mark(spark, f"{tmp}/_BUILT")
+        publish(spark, tmp, final, "_BUILT")
+    return final
 
 
 def build(spark: SparkSession, sf_dir: str, run_ts: str = trips.RUN_TS) -> str:
     """Folder holding ``load`` and the three model tables for ``sf_dir``."""
     ident = f"{_landing_key(spark, sf_dir)}|{run_ts}|{code_version()}"
     final = f"{shared_dir(spark).rstrip('/')}/warehouse-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
-    fs = _jpath(spark, final).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(_jpath(spark, final + "/_BUILT")):
-        return final
-    tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-    # Stage and conform once; the model tables are projections of the load table.
-    trips.load_table(spark, sf_dir).write.mode("overwrite").parquet(f"{tmp}/load")
-    load = spark.read.parquet(f"{tmp}/load")
-    model.write_model(load, tmp, run_ts)
-    fs.create(_jpath(spark, tmp + "/_BUILT")).close()
-    publish(spark, tmp, final, "_BUILT")
-    return final
+
+    def write(root: str) -> None:
+        # Stage and conform once; the model tables are projections of the load table.
+        trips.load_table(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/load")
+        load = spark.read.parquet(f"{root}/load")
+        parts = model.write_parts(spark, folders.n_bytes(spark, f"{root}/load"))
+        for name, path in model.write_model(load, root, run_ts, parts=parts).items():
+            written = spark.read.schema(journal.table_schema(name)).parquet(path)
+            file_index.write(file_index.entries(written, "day", journal.index_keys(name)), path, BUILT)
+
+    return _built(spark, final, write)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = trips.RUN_TS) -> DataFrame:
     """One warehouse table (``load``, ``trips_pickup``, ``trips_dropdown``,
     ``trips_data``) as a DataFrame over its Parquet files."""
-    return spark.read.parquet(f"{build(spark, sf_dir, run_ts)}/{name}")
+    root = build(spark, sf_dir, run_ts)
+    if name == "load":
+        return spark.read.parquet(f"{root}/load")
+    return file_index.read_table(spark, f"{root}/{name}", BUILT, journal.table_schema(name))
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
@@ -75,13 +92,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], Non
     further copies."""
     ident = f"{_landing_key(spark, sf_dir)}|{name}|{code_version()}"
     final = f"{shared_dir(spark).rstrip('/')}/{name}-{hashlib.sha1(ident.encode()).hexdigest()[:16]}"
-    fs = _jpath(spark, final).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(_jpath(spark, final + "/_BUILT")):
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        write(tmp)
-        fs.create(_jpath(spark, tmp + "/_BUILT")).close()
-        publish(spark, tmp, final, "_BUILT")
-    return final
+    return _built(spark, final, write)
 
 
 def raw_files(spark: SparkSession, sf_dir: str) -> str:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxiframe.functions import codes, datetimes, geo, numbers
-from taxiframe.operators import analytics, clean, model, profile
+from taxiframe.operators import analytics, clean, lookup, model, profile
 from taxiframe.plans import trips, warehouse
 from taxiframe.schemas import COORDINATES, DATETIMES, NUMBERS, RAW_COLUMNS
-from taxiframe.sources import files, sinks
+from taxiframe.sources import catalog, files, journal, sinks
+from taxiframe.sources.derived import read_table
+from taxiframe.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -77,6 +79,28 @@ def decode_codes(spark, sf_dir):
                       codes.flag_code("store_and_fwd_flag").alias("store_and_fwd_flag"))
 
 
+def _vendors(spark, sf_dir, **how) -> DataFrame:
+    """Raw trips with the name of the supplier whose key is the vendor's code;
+    nearly every row has one of two codes."""
+    raw = trips.raw(spark, sf_dir).select("VendorID", "trip_distance")
+    suppliers = read_table(spark, sf_dir, "supplier")
+    return lookup.lookup_join(raw, suppliers, "VendorID", "s_suppkey", "s_name", "vendor_name", **how)
+
+
+@query
+def lookup_vendor(spark, sf_dir):
+    """D4 / B6 with a table as the dimension, sent to every executor if its
+    measured size allows."""
+    return _vendors(spark, sf_dir)
+
+
+@query
+def lookup_vendor_shuffled(spark, sf_dir):
+    """D4 / B6 in the form for a dimension of any size: both sides shuffled by
+    code, hot codes dealt over several parts."""
+    return _vendors(spark, sf_dir, broadcast_bytes=-1)
+
+
 @query
 def parse_numbers(spark, sf_dir):
     """B7 over every raw row."""
@@ -339,6 +363,13 @@ def stage_retention(spark, sf_dir):
     return profile.stage_retention(trips.classified(spark, sf_dir))
 
 
+@query
+def profile_retention(spark, sf_dir):
+    """Rows left after each rule of the profile chain and the shares that
+    they are of all rows and of the step before."""
+    return profile.profile_retention(_typed(spark, sf_dir))
+
+
 # --- files: globs, manifest, reader, sinks ------------------------------------------
 
 #: Months picked by the month-selecting queries ('|'-separated, as the job takes them).
@@ -381,16 +412,6 @@ def file_count(spark, sf_dir):
     return files.file_manifest(_files(spark, sf_dir), MANIFEST_MONTH).agg(F.count(F.lit(1)).alias("n_files"))
 
 
-@query
-def new_files(spark, sf_dir):
-    """Files whose (name, size) is not loaded yet; parts with an even
-    number count as already loaded, one of them with another size."""
-    man = files.file_manifest(_files(spark, sf_dir))
-    loaded = man.filter(F.col("part").cast("int") % 2 == 0).withColumn(
-        "length", F.when(F.col("part") == "04", F.col("length") - 1).otherwise(F.col("length")))
-    return files.new_files(man, loaded).select("file_name", "length", "month", "part")
-
-
 @query
 def read_raw(spark, sf_dir):
     """A3 / A4: the trip lines of all raw files."""
@@ -428,31 +449,134 @@ def append_tmp(spark, sf_dir):
     return spark.read.parquet(warehouse.once(spark, sf_dir, "appended", write)).drop("source_part")
 
 
-#: Parts of every month that the incremental load takes, in this order; the
-#: first load of part 01 has wrong pickup times.
-LOADS = (["00", "01"], ["01"], ["00"])
+#: Files of the first load (by stream), and the file that is then replaced by a
+#: wrong version and corrected again.
+FIRST_MONTHS = "*-0?_*"
+CORRECTED = "yellow_tripdata_1996-03_04"
+
+
+def _part_of_file():
+    return incremental.part_of_file(F.col("path"))
+
+
+def _listing(spark, sf_dir, glob: str = "*") -> DataFrame:
+    """The raw files as the ledger knows them; ``file_name`` is the trip file's."""
+    listing = files.list_files(spark, f"{warehouse.raw_files(spark, sf_dir)}/source_file={glob}/*.txt")
+    return listing.withColumnRenamed("modificationTime", "modified").select("path", "file_name", "length", "modified")
+
+
+def incremental_warehouse(spark, sf_dir) -> str:
+    """Folder of a warehouse that several loads made: a stream loads the files
+    of the months 01 to 09, a batch all files that the ledger doesn't have; then
+    one file comes in a wrong version, whose trips are two days early, and in its
+    right version again. ``new_files`` keeps what was new after the stream, and
+    after the wrong version."""
+    def write(root: str) -> None:
+        raw = warehouse.raw_files(spark, sf_dir)
+        incremental.load_new_files(spark, f"{raw}/source_file={FIRST_MONTHS}", root, f"{root}/checkpoint", trips.RUN_TS)
+        listing = _listing(spark, sf_dir)
+
+        def note_new(step: str) -> DataFrame:
+            path = f"{root}/new_files/step={step}"
+            files.new_files(listing, journal.loaded_files(spark, root)).write.parquet(path)
+            return spark.read.parquet(path)
+
+        new = note_new("stream")
+        parts = [r[0] for r in new.select(_part_of_file()).distinct().collect()]  # files, not rows
+        staged = _staged_parts(spark, sf_dir)
+        journal.load(staged, root, parts, new, trips.RUN_TS)
+        one = listing.where(_part_of_file() == CORRECTED)
+        earlier = F.expr("INTERVAL 2 DAYS")
+        early = F.date_format(F.to_timestamp("tpep_pickup_datetime") - earlier, "yyyy-MM-dd HH:mm:ss")
+        journal.load(staged.withColumn("tpep_pickup_datetime", early), root, [CORRECTED],
+                     one.withColumn("modified", F.col("modified") - earlier), trips.RUN_TS)
+        journal.load(staged, root, [CORRECTED], note_new("wrong"), trips.RUN_TS)
+
+    return warehouse.once(spark, sf_dir, "incremental", write)
+
+
+@query
+def new_files(spark, sf_dir):
+    """Files that the ledger of loaded files did not have after the first
+    load, and after a load of a file whose time was another one."""
+    new = spark.read.parquet(f"{incremental_warehouse(spark, sf_dir)}/new_files")
+    return new.select("step", F.concat(_part_of_file(), F.lit(files.ZIP_SUFFIX)).alias("file_name"), "length")
+
+
+@query
+def load_ledger(spark, sf_dir):
+    """The files in the ledger and how often each was loaded."""
+    ledger = journal.ledger(spark, incremental_warehouse(spark, sf_dir))
+    return ledger.groupBy(F.concat(_part_of_file(), F.lit(files.ZIP_SUFFIX)).alias("file_name"), "length").agg(
+        F.count(F.lit(1)).alias("n_loads"))
 
 
 @query
 def model_incremental(spark, sf_dir):
-    """``trips_pickup`` after several loads of some parts, one
-    of which corrects an earlier one and moves its rows to other days."""
-    staged = _staged_parts(spark, sf_dir)
-    part = F.regexp_extract("source_part", r"_([0-9]+)$", 1)
-    first = (part == "01")
-    later = F.date_format(F.to_timestamp("tpep_pickup_datetime") - F.expr("INTERVAL 2 DAYS"), "yyyy-MM-dd HH:mm:ss")
-    wrong = staged.withColumn("tpep_pickup_datetime", F.when(first, later).otherwise(F.col("tpep_pickup_datetime")))
+    """``trips_pickup`` after the loads of :func:`incremental_warehouse`."""
+    return _points_out(journal.read(spark, incremental_warehouse(spark, sf_dir), "trips_pickup"))
+
+
+@query
+def model_incremental_data(spark, sf_dir):
+    """``trips_data`` after the same loads."""
+    return _data_out(journal.read(spark, incremental_warehouse(spark, sf_dir), "trips_data"))
+
+
+@query
+def index_days(spark, sf_dir):
+    """Rows by day from the file index of ``trips_pickup``, without
+    opening a file of the table."""
+    index = journal.index(spark, incremental_warehouse(spark, sf_dir), "trips_pickup")
+    return index.groupBy(F.col("part").cast("date").alias("day")).agg(F.sum("n_rows").alias("n_rows"))
+
 
+#: The days and geohashes that the range query asks for.
+RANGE_DAYS, RANGE_ZONES = ("1995-02-01", "1997-08-15"), ("dr5r", "dr5x5")
+
+
+@query
+def trips_in_range(spark, sf_dir):
+    """Pickups of a range of days and geohashes; only the files that the
+    file index names for it are opened."""
+    return _points_out(journal.read_range(spark, incremental_warehouse(spark, sf_dir), "trips_pickup",
+                                          RANGE_DAYS, RANGE_ZONES))
+
+
+@query
+def tables_by_name(spark, sf_dir):
+    """The tables created by name where absent, the staged
+    trips appended to the load table in two halves and the model tables inserted
+    from it, all by name; the dropoff points read by name."""
+    staged = model.conform_schema(_staged_parts(spark, sf_dir), keep=(journal.PART,))
+    even = F.pmod(F.hash(journal.PART), F.lit(2)) == 0
+
+    def write(root: str) -> None:
+        catalog.drop_tables(spark, "taxiframe_load")
+        catalog.create_tables(spark, "taxiframe_load", root)
+        for half in (even, ~even):
+            catalog.append(staged.where(half), f"taxiframe_load.{catalog.LOAD_TABLE}")
+        catalog.fill_model(spark, "taxiframe_load", trips.RUN_TS, ["trips_dropdown"])
+        catalog.drop_tables(spark, "taxiframe_load")
+
+    root = warehouse.once(spark, sf_dir, "by-name", write)
+    catalog.drop_tables(spark, "taxiframe")
+    catalog.create_tables(spark, "taxiframe", root)
+    return _points_out(spark.table("taxiframe.trips_dropdown").drop(model.FOLDER))
+
+
+@query
+def columns_by_file(spark, sf_dir):
+    """Staged files of two kinds, one without ``improvement_surcharge``; its
+    rows get the default, while nulls that the other files have stay null."""
     def write(path: str) -> None:
-        sinks.create_tables(spark, f"{path}/load", path)
-        for i, numbers_ in enumerate(LOADS):
-            rows = (staged if i else wrong).where(part.isin(numbers_))
-            names = [r[0] for r in rows.select("source_part").distinct().collect()]  # files, not rows
-            sinks.load_parts(rows, f"{path}/load", path, names, trips.RUN_TS)
-        sinks.check_required(path, spark)
-
-    path = warehouse.once(spark, sf_dir, "incremental", write)
-    return _points_out(spark.read.parquet(f"{path}/trips_pickup"))
+        staged = _staged_parts(spark, sf_dir).withColumn("old", F.substring(journal.PART, -2, 2).cast("int") % 2 == 0)
+        empty = F.when(F.col("passenger_count") == 0, None).otherwise(F.col("improvement_surcharge"))
+        staged.where("old").drop("improvement_surcharge", "old").write.parquet(f"{path}/old")
+        staged.where("NOT old").withColumn("improvement_surcharge", empty).drop("old").write.parquet(f"{path}/new")
+
+    root = warehouse.once(spark, sf_dir, "two-kinds", write)
+    return sinks.read_conformed(spark, [f"{root}/old", f"{root}/new"])
 
 
 @query

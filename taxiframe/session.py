@@ -7,6 +7,7 @@ default): all parsing goes through ``try_*`` functions instead.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -127,6 +128,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique location under :func:`shared_dir` for one run of ``name``."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique location under :func:`shared_dir` for one run of ``name``,
+    which is removed when the driver's Python ends."""
+    place = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    _SCRATCH.append((spark._jvm.org.apache.hadoop.fs.Path(place), spark._jsc.hadoopConfiguration()))
+    return place
+
+
+#: Locations handed out, with the settings of their file system.
+_SCRATCH: list = []
+
+
+def remove_scratch() -> int:
+    """Remove all locations that :func:`scratch_path` handed out; returns how many
+    there were. Frames that read them can't be used any more."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        place, conf = _SCRATCH.pop()
+        try:
+            place.getFileSystem(conf).delete(place, True)
+        except Exception:  # noqa: BLE001  # the JVM is gone, nothing can be removed from here
+            _SCRATCH.clear()
+    return n

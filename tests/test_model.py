@@ -1,12 +1,9 @@
 """Model tables, joins, aggregates and top-k: golden values and plan shape."""
-import os
-
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
-from taxiframe.operators import analytics, clean, model
+from taxiframe.operators import analytics, model
 from taxiframe.plans import inspect, trips
-from taxiframe.sources import sinks
 
 
 def test_join_and_zone_counts(spark):
@@ -71,7 +68,11 @@ def test_zone_average_of_dirty_tips(spark):
     data, pickup = zone_input(spark, [("x", 1, 1e17), ("x", 1, float("inf")), ("x", 1, 2.0), ("y", 2, 1e17)],
                               [("x", 1, "g"), ("y", 2, "h")])
     got = {r["geohash"]: (r["avg_tip"], r["n_trips"]) for r in analytics.avg_tip_by_zone(data, pickup).collect()}
-    assert got == {"g": (2.0, 3), "h": (None, 1)}
+    assert got == {"g": (float("inf"), 3), "h": (1e17, 1)}  # no amount is left out
+    data, pickup = zone_input(spark, [("x", 1, 1e15), ("x", 1, 2.0), ("x", 1, None), ("y", 2, 4.0)],
+                              [("x", 1, "g"), ("y", 2, "h")])
+    got = {r["geohash"]: (r["avg_tip"], r["n_trips"]) for r in analytics.avg_tip_by_zone(data, pickup).collect()}
+    assert got == {"g": (5e14 + 1, 3), "h": (4.0, 1)}
 
 
 def test_zone_average_has_three_exchanges(spark):
@@ -80,38 +81,6 @@ def test_zone_average_has_three_exchanges(spark):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-def stored(spark, path):
-    return sorted(tuple(map(str, r)) for r in spark.read.parquet(path).drop("day").collect())
-
-
-def test_loads_of_parts_keep_every_row(spark, tmp):
-    """Parts 00, 01, 00 again and a corrected part 01 end with the rows of the load table."""
-    staged = trips.classified(spark, SF01).where("source_file LIKE '%-0_\\_0_.csv.zip' AND tpep_pickup_datetime < '1995-03'")
-    staged = staged.select(F.explode(F.when(F.col("reject_reason").isNull(), F.array(F.struct(
-        *clean._staged_projection())))).alias("s"), F.regexp_extract("source_file", "_([0-9]+)[.]csv", 1)
-        .alias("source_part")).select("s.*", "source_part").where("source_part IN ('00', '01')").cache()
-    load, out = f"{tmp}/load", f"{tmp}/model"
-    later = F.date_format(F.to_timestamp("tpep_pickup_datetime") - F.expr("INTERVAL 9 DAYS"), "yyyy-MM-dd HH:mm:ss")
-    wrong = staged.where("source_part = '01'").withColumn("tpep_pickup_datetime", later)
-    assert len(sinks.create_tables(spark, load, out)) == 4 and sinks.create_tables(spark, load, out) == []
-    sinks.load_parts(staged, load, out, ["00"], trips.RUN_TS)
-    sinks.load_parts(wrong, load, out, ["01"], trips.RUN_TS)
-    moved = {r[0] for r in spark.read.parquet(f"{out}/trips_pickup").select("day").distinct().collect()}
-    sinks.load_parts(staged, load, out, ["00"], trips.RUN_TS)
-    sinks.load_parts(staged, load, out, ["01"], trips.RUN_TS)
-    rows = spark.read.parquet(load)
-    assert rows.count() == staged.count() > 20
-    whole = model.write_model(rows, f"{tmp}/whole", trips.RUN_TS)
-    for name, path in whole.items():
-        assert stored(spark, f"{out}/{name}") == stored(spark, path), name
-    days = {r[0] for r in spark.read.parquet(f"{out}/trips_pickup").select("day").distinct().collect()}
-    assert moved - days  # days that only the wrong rows had are gone
-    assert {f.name for f in os.scandir(f"{out}/trips_pickup") if f.name.startswith("day=")} == {f"day={d}" for d in days}
-    noted = [r[0] for r in spark.read.parquet(f"{out}/loaded_parts").collect()]
-    assert sorted(noted) == ["00", "00", "01", "01"]
-    sinks.check_required(out, spark)
-
-
 def test_model_write_is_pruned_by_day(spark, tmp):
     load = trips.load_table(spark, SF001).where("tpep_pickup_datetime < '1995-03'").cache()
     for _ in range(2):  # rerun: the same folders are replaced, not appended to
@@ -119,8 +88,19 @@ def test_model_write_is_pruned_by_day(spark, tmp):
     for name, path in paths.items():
         assert spark.read.parquet(path).count() == load.count(), name
     pick = spark.read.parquet(paths["trips_pickup"])
-    one_day = pick.filter(F.col("day") == pick.select("day").first()[0])
-    assert "PartitionFilters: [isnotnull(day" in one_day._jdf.queryExecution().executedPlan().toString()
+    row = pick.select("day", "month").first()
+    one_day = pick.filter((F.col("day") == row["day"]) & (F.col("month") == row["month"]))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "EqualTo(day," in plan
+    # Days are not scattered: a file holds adjacent days of one month.
+    files = pick.groupBy("_metadata.file_path", "month").agg(F.min("day").alias("a"), F.max("day").alias("b")).collect()
+    ranges = sorted((r["a"], r["b"]) for r in files)
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_tasks_of_a_write(spark):
+    assert model.write_parts(spark, 0) == 1 and model.write_parts(spark, 3 << 20) == 3
+    assert model.write_parts(spark, 100 << 40) == (100 << 40) // model.TASK_BYTES
 
 
 def test_created_at_defaults_to_today(spark):
