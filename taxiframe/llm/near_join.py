@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash prefixes with exact verification.
 
 Two texts are linked if the Jaccard similarity of their sets of five-word
 shingles is at least 0.8 (shorter texts have one shingle, all their words).
@@ -6,8 +6,9 @@ shingles is at least 0.8 (shorter texts have one shingle, all their words).
 1. Texts with equal shingle sets are a class; one member represents it.
 2. A representative gets ``TREES`` MinHash signatures of ``DEPTH`` values. In
    each tree, representatives with the same prefix of the signature meet. The
-   prefix starts at its full length and is shortened until the probability
-   that a pair at the threshold meets in some tree reaches ``RECALL``.
+   prefix has one length for all, the longest with which a pair at the threshold
+   meets in some tree with the probability ``RECALL``: bands of a forest, whose
+   prefixes are not sorted and not shortened by the matches found.
 3. Meeting makes candidates, chained to components by hooking and contracting
    (member, smallest member) rows: a tree node of ``m`` members has ``m`` rows,
    never its pairs.

@@ -23,14 +23,15 @@ FROM d
 OP3 = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text,
                   md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS k,
-                  regexp_extract_all(text, '[^\n]*?[.!?] +|[^\n]*\n|[^\n]+') AS us FROM documents),
+                  regexp_extract_all(text, '[^\n]{32,}?[.!?] +|[^\n]*\n[ \t\r\n]*|[^\n]+') AS us FROM documents),
 u AS (SELECT rid, doc_id, k, generate_subscripts(us, 1) - 1 AS i, unnest(us) AS u FROM d),
-v AS (SELECT *, rtrim(u, ' ' || chr(10)) AS unit, len(regexp_extract_all(u, '[^\x20\x09-\x0D]+')) AS words FROM u),
-l AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(k) AS k, list(unit ORDER BY i) AS us, list(words ORDER BY i) AS ws,
-             list(i ORDER BY i) AS ats FROM v WHERE words > 0 GROUP BY rid),
+t AS (SELECT *, rtrim(u, ' ' || chr(9) || chr(10) || chr(13)) AS unit FROM u),
+v AS (SELECT *, strlen(unit) AS bytes FROM t),
+l AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(k) AS k, list(unit ORDER BY i) AS us, list(bytes ORDER BY i) AS ws,
+             list(i ORDER BY i) AS ats FROM v GROUP BY rid),
 f AS (SELECT *, unnest(range(len(ws))) AS first FROM l),
-c AS (SELECT *, CASE WHEN ws[first + 1] >= 50 THEN 1 ELSE list_filter(range(2, 11), lambda n:
-                first + n <= len(ws) AND list_sum(ws[first + 1:first + n]) >= 10)[1] END AS n FROM f),
+c AS (SELECT *, CASE WHEN ws[first + 1] >= 300 THEN 1 ELSE list_filter(range(2, 9), lambda n:
+                first + n <= len(ws) AND list_sum(ws[first + 1:first + n]) >= 50)[1] END AS n FROM f),
 chunks AS (SELECT rid, doc_id, k, first, array_to_string(us[first + 1:first + n], chr(10)) AS chunk,
                   ats[first + 1] AS a, ats[first + n] AS b FROM c WHERE n IS NOT NULL),
 ranked AS (SELECT *, dense_rank() OVER (PARTITION BY chunk ORDER BY doc_id NULLS LAST, k, first) AS place FROM chunks),
