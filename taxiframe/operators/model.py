@@ -19,9 +19,11 @@ from taxiframe.functions import datetimes, geo, numbers
 from taxiframe.schemas import LOAD_DEFAULTS, LOAD_FIELDS
 
 GEOHASH_PRECISION = 7
+# --- fixed values: fields of the amounts struct and their sources --------------
 AMOUNT_FIELDS = [("fare", "fare_amount"), ("extra", "extra"), ("mta", "mta_tax"),
                  ("tip", "tip_amount"), ("tolls", "tolls_amount"),
                  ("improvement_surcharge", "improvement_surcharge")]
+# --- end of fixed values ------------------------------------------------------
 
 
 def conform_schema(df: DataFrame, fields: list[tuple[str, str]] = LOAD_FIELDS,

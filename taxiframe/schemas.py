@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # --- fixed values: must equal the reference's for identical results --------
@@ -54,7 +53,7 @@ def _staged_type(name: str) -> T.DataType:
 
 STAGED_SCHEMA = T.StructType([T.StructField(c, _staged_type(c)) for c in STAGED_COLUMNS])
 
-# Load table ``tripdata_tmp``: (name, load type) in the order of the load step.
+# --- fixed values: the load table ``tripdata_tmp``, (name, load type) in order -
 LOAD_FIELDS = [
     ("id", "string"), ("VendorID", "string"), ("RateCodeID", "string"),
     ("store_and_fwd_flag", "boolean"), ("payment_type", "string"),
@@ -67,6 +66,9 @@ LOAD_FIELDS = [
     ("pickup_geom", "geography"), ("dropoff_longitude", "double"),
     ("dropoff_latitude", "double"), ("dropoff_geom", "geography"),
 ]
+# --- fixed values: amounts that may be 0 in the profile, by the start of the name
+OPTIONAL_AMOUNTS = ("tip", "tolls", "extra", "improvement", "mta")
+# --- end of fixed values ----------------------------------------------------
 LOAD_COLUMNS = [n for n, _ in LOAD_FIELDS]
 
 
@@ -99,13 +101,7 @@ def numeric_columns(columns: list[str]) -> list[str]:
 
 def nonzero_amount_columns(columns: list[str]) -> list[str]:
     """Numeric columns that must be non-zero in the profile (tips etc. may be 0)."""
-    optional = ("tip", "tolls", "extra", "improvement", "mta")
-    return [c for c in numeric_columns(columns) if not c.startswith(optional)]
-
-
-def columns_by_suffix(df: DataFrame, *suffixes: str) -> list[str]:
-    """Schema-driven selector: names of ``df`` that end with any suffix."""
-    return [f.name for f in df.schema.fields if f.name.endswith(tuple(suffixes))]
+    return [c for c in numeric_columns(columns) if not c.startswith(OPTIONAL_AMOUNTS)]
 
 
 COORDINATES = coordinate_columns(RAW_COLUMNS)
