@@ -253,6 +253,17 @@ def test_negatives_of_huge_components(spark, scale):
     assert got == brute_negatives(data, 5)
 
 
+def test_negative_labels_match_sql(spark, tmp_path):
+    """The remainder of a negative label is negative: -4 is next to -5, not 6."""
+    data = [(i, v, k - 12) for i, v, k in vectors(5)] + [(i + 400, v, k) for i, v, k in vectors(6)]
+    spark.createDataFrame(data, VECTORS).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    key = "op11_hard_negatives"
+    res = compare(spark, con, key, QUERIES[key], ORACLE[key], str(tmp_path))
+    assert res["status"] == "ok", res
+
+
 def test_limits_of_any_score(spark):
     scores = [0, 1, -1, 2, 99, 100, 101, -100, 2 ** 63 - 1, -2 ** 63 + 1, 12345678901234567]
     got = spark.createDataFrame([(s,) for s in scores], "s long").select(
