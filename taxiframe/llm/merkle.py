@@ -179,9 +179,11 @@ def _proofs(nodes: pa.Table, above: pa.Table, arity: int, levels: int) -> pa.Tab
     for i, (old, new) in enumerate(zip(digests, changed, strict=True)):
         path = [*block_path(rows, i, arity), *upper]
         proofs.append(digest_of(a + b for a, b in path))
-        versions.append(copied(new, path) if new not in (None, old) else None)
-        # The unchanged leaf leads to the root by the nodes of the tree itself.
-        folded.append(root if versions[-1] is None else (versions[-1] or [new])[-1])
+        # Every leaf is folded with its siblings, also one that is unchanged.
+        node = old if new is None else new
+        nodes_up = copied(node, path)
+        folded.append(nodes_up[-1] if nodes_up else node)
+        versions.append(nodes_up if node != old else None)
     n = nodes.num_rows
     return pa.table({"doc_id": nodes.column("doc_id"), "tree": nodes.column("tree").cast(pa.string()),
                      "index": nodes.column("index").cast(pa.int64()), "leaf": pa.array(digests, pa.string()),

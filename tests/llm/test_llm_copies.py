@@ -10,6 +10,7 @@ from hashlib import sha256
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from llm_cases import SCHEMA, prose, rows, table
@@ -181,6 +182,19 @@ def test_version_copies_the_ancestors_only(spark):
             assert got[i]["folded_root"] == got[i]["root"]
 
 
+def test_every_leaf_is_folded_with_its_siblings():
+    """A path that doesn't lead to the root shows, also for a leaf that nobody tampered with."""
+    digests = [merkle.digest_of([str(i)]) for i in range(3)]
+    nodes = pa.table({"doc_id": [1, 2, 3], "tree": ["1en"] * 3, "index": [0, 1, 2], "total": [3] * 3, "digest": digests,
+                      "changed": pa.array([None, digests[1], "ff"], pa.string())})
+    above = pa.table({"subroot": ["s"], "root": ["r"], "path": pa.array([[{"left": "a", "right": "b"}]], pa.list_(merkle.STEP))})
+    out = merkle._proofs(nodes, above, 8, 4)
+    top = merkle.digest_of(["a", merkle.digest_of(digests), "b"])
+    other = merkle.digest_of(["a", merkle.digest_of([*digests[:2], "ff"]), "b"])
+    assert out.column("folded_root").to_pylist() == [top, top, other]
+    assert [v is None for v in out.column("version").to_pylist()] == [True, True, False]
+
+
 # --- hard negatives
 
 def brute_negatives(data, every=50):
