@@ -82,12 +82,13 @@ def append(rows: DataFrame, name: str, parts: int | None = None) -> None:
 
 
 def fill_model(spark: SparkSession, database: str, run_ts: str | None = None,
-               tables: Iterable[str] = journal.TABLES) -> None:
-    """Insert the model tables from the load table, all by name."""
+               tables: Iterable[str] = journal.TABLES, parts: int | None = None) -> None:
+    """Insert the model tables from the load table, all by name.
+    ``parts``: tasks of each write."""
     load = spark.table(f"{database}.{LOAD_TABLE}").drop(journal.PART, model.FOLDER)
     made = model.model_tables(load, run_ts)
     for table in tables:
-        append(made[table], f"{database}.{table}")
+        append(made[table], f"{database}.{table}", parts)
 
 
 def drop_tables(spark: SparkSession, database: str) -> None:
