@@ -11,7 +11,8 @@
 4. Baum-Welch: every task runs the scaled forward-backward recursion over its
    training sequences and emits expected counts by state and symbol, which are
    added up over all tasks. The parameters are ``STATES x symbols`` numbers
-   and go to all tasks. Starting values come from a bounded sample.
+   and go to all tasks. Starting values are the symbols' shares in all training
+   documents, spread at random by state; no round runs on a sample.
 5. The scaled forward recursion gives the likelihood of every whole document.
 
 Words are lower-cased (A-Z); each document ends with one end token. Training
@@ -38,11 +39,10 @@ from taxiframe.llm.common import materialize
 FOLDS, HELD = 7, 2
 #: Symbols of their own, classes of the other words, hidden states.
 WORDS, CLASSES, STATES = 2048, 512, 8
-#: Rounds over all training documents; rounds over the sample; documents of
-#: the sample that gives the starting values.
-ROUNDS, START_ROUNDS, SAMPLE = 2, 12, 300
+#: Rounds over all training documents; spread of the starting values.
+ROUNDS, SPREAD = 3, 1.0
 #: A block ends after so many bytes of text; a batch of sequences has so many places.
-BLOCK, BATCH = 4 << 20, 1 << 18
+BLOCK, BATCH = 8 << 20, 1 << 18
 END = WORDS + CLASSES
 SYMBOLS = END + 1
 
@@ -165,7 +165,7 @@ class Model(NamedTuple):
     @staticmethod
     def initial(background: np.ndarray, states: int = STATES, seed: int = 7) -> Model:
         random = np.random.default_rng(seed)
-        emit = background[:, None] * random.uniform(0.5, 1.5, (len(background), states))
+        emit = background[:, None] * np.exp(SPREAD * random.normal(size=(len(background), states)))
         move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
         return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
@@ -257,19 +257,9 @@ def expected_rows(model: Model):
 
 def train(documents: DataFrame, background: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the training documents of ``to_symbols``."""
-    # About twice ``SAMPLE`` documents reach the driver, however many there are.
-    training = documents.where("not held")
-    part = min(1.0, 2.0 * SAMPLE / max(1, training.count()))
-    chance = F.pmod(F.xxhash64("doc_id", "symbols"), F.lit(1 << 30))
-    sample = training.where(chance <= int(part * (1 << 30))).select(chance.alias("chance"), "symbols")
-    sample = sample.limit(8 * SAMPLE).collect()  # only many equal rows reach the limit
-    sample = sorted(((r["chance"], bytes(r["symbols"])) for r in sample))[:SAMPLE]
-    sequences = sorted((sequence(data) for _, data in sample), key=lambda s: (len(s), s.tobytes()))
     model = Model.initial(background)
-    for _ in range(START_ROUNDS if sequences else 0):
-        model = estimate(expected(model, sequences), background)
     shapes = [model.start.shape, model.move.shape, model.emit.shape]
-    for _ in range(rounds if sequences else 0):
+    for _ in range(rounds):
         # One number per state and state or symbol reaches the driver.
         sums = documents.where("not held").select("symbols").mapInArrow(
             expected_rows(model), "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()

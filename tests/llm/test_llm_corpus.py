@@ -377,6 +377,15 @@ def test_symbols_are_ranked_by_the_whole_count(spark):
     assert symbols == {(0, True), (1, True), (2, False)}
 
 
+def test_training_starts_without_a_sample(spark):
+    """Before the first round over all documents, only their shares of symbols count."""
+    frame = spark.createDataFrame([(i, False, np.arange(i, i + 9).astype("<u2").tobytes()) for i in range(50)],
+                                  "doc_id long, held boolean, symbols binary")
+    background = np.full(hmm.SYMBOLS, 1 / hmm.SYMBOLS)
+    assert np.array_equal(hmm.train(frame, background, 0).emit, hmm.Model.initial(background).emit)
+    assert not np.allclose(hmm.train(frame, background, 1).emit, hmm.Model.initial(background).emit)
+
+
 def brute_base(data):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tokens = [[*WORD.findall((t or "").translate(lower)), None] for _, t in data]
