@@ -1,5 +1,6 @@
 """Journaled loads: broken runs, the file index, the ledger, the stream and the
 tables by name."""
+import datetime
 import os
 import shutil
 import time
@@ -276,3 +277,15 @@ def test_columns_absent_by_file(spark, staged, tmp):
     kinds = {(r["improvement_surcharge"], r["VendorID"], r["pickup_geom"] == "POINT(0 0)") for r in got.collect()}
     assert kinds == {(0.0, ":", True), (None, None, False)}
     assert got.count() == 12 and dict(got.dtypes)["store_and_fwd_flag"] == "boolean"
+
+
+def test_rebuilt_days_open_only_files_that_can_hold_them(spark):
+    """Days far apart: a file between them that has none of them stays closed."""
+    rows = [("a", "1995-01-01", "1995-01-31"), ("b", "1995-02-01", "1995-02-28"), ("c", "1995-03-01", "1995-03-31"),
+            ("d", None, None)]
+    index = spark.createDataFrame(rows, "file string, x string, y string").select(
+        "file", F.col("x").cast("date").alias("min_pickup_day"), F.col("y").cast("date").alias("max_pickup_day"))
+    days = [datetime.date(1995, 1, 31), datetime.date(1995, 3, 1)]
+    kept = lambda values: sorted(r["file"] for r in file_index.holding(values, "pickup_day")(index).collect())
+    assert kept(days) == ["a", "c"]
+    assert kept([]) == []
