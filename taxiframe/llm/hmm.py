@@ -24,7 +24,7 @@ empty result, and with no training document all words are unknown.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -42,7 +42,7 @@ WORDS, CLASSES, STATES = 2048, 512, 8
 #: Rounds over all training documents; spread of the starting values.
 ROUNDS, SPREAD = 3, 1.0
 #: A block ends after so many bytes of text; a batch of sequences has so many places.
-BLOCK, BATCH = 8 << 20, 1 << 18
+BLOCK, BATCH = 8 << 20, 1 << 17
 END = WORDS + CLASSES
 SYMBOLS = END + 1
 
@@ -70,20 +70,21 @@ def encode_blocks(docs: DataFrame) -> DataFrame:
     def block_rows(block: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         places: dict[bytes, int] = defaultdict()
         places.default_factory = places.__len__
-        counts = Counter()
-        coded, ids_type = [], rows[0][3]
-        for doc_id, text, held, _ in rows:
+        coded, trained, ids_type = [], [np.zeros(0, np.int32)], rows[0][3]
+        for _, text, held, _ in rows:
             words = text.lower().split()
-            coded.append(pack_ids(np.fromiter(map(places.__getitem__, words), np.int64, len(words))))
+            ids = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
+            coded.append(pack_ids(ids))
             if not held:
-                counts.update(words)
+                trained.append(ids)
+        counts = np.bincount(np.concatenate(trained), minlength=len(places))
         for i in range(0, len(rows), 500):
             part = rows[i:i + 500]
             yield build(block, [r[0] for r in part], [r[2] for r in part], coded[i:i + 500], [], [], [], ids_type)
         words = list(places)
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
-            yield build(block, [], [], [], list(range(i, i + len(part))), part, [counts[w] for w in part], ids_type)
+            yield build(block, [], [], [], list(range(i, i + len(part))), part, counts[i:i + 20_000].tolist(), ids_type)
 
     def build(block, doc_ids, held, ids, places, words, ns, ids_type) -> pa.RecordBatch:
         d, w = len(doc_ids), len(places)
@@ -189,15 +190,21 @@ def batches_of(sequences: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndar
 
 def forward(model: Model, symbols: np.ndarray, live: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log likelihood by sequence; scaled forward values and scales by time."""
-    times, n = symbols.shape
-    alphas = np.zeros((times, n, len(model.start))) if keep else np.zeros((0, 0, 0))
-    scales = np.ones((times, n))
-    alpha = model.start * model.emit[symbols[0]]
+    return recursion(model, model.emit[symbols], live, keep)
+
+
+def recursion(model: Model, emitted: np.ndarray, live: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`forward` from the emission probabilities by time, sequence and state."""
+    times, n, states = emitted.shape
+    alphas = np.zeros((times, n, states)) if keep else np.zeros((0, 0, 0))
+    scales, ones = np.ones((times, n)), np.ones(states)
+    alpha = model.start * emitted[0]
     for t in range(times):
         k = live[t]
         if t:
-            alpha = (alpha[:k] @ model.move) * model.emit[symbols[t, :k]]
-        scale = alpha.sum(1)
+            alpha = alpha[:k] @ model.move
+            alpha *= emitted[t, :k]
+        scale = alpha @ ones
         alpha /= scale[:, None]
         scales[t, :k] = scale
         if keep:
@@ -210,24 +217,38 @@ def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.
     states = len(model.start)
     start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((len(model.emit), states))
     for _, symbols, live in batches_of(sequences):
-        _, alphas, scales = forward(model, symbols, live, True)
+        emitted = model.emit[symbols]
+        _, alphas, scales = recursion(model, emitted, live, True)
         times, n = symbols.shape
-        beta, betas = np.ones((n, states)), np.zeros((times, n, states))
-        betas[-1, :live[-1]] = 1.0
+        # Becomes by time what the next time gives a state (0 where there is none).
+        emitted /= scales[:, :, None]
+        beta, back = np.ones((n, states)), model.move.T.copy()
+        gamma = np.zeros((times, n, states))  # 0 where a sequence has ended
+        gamma[-1, :live[-1]] = alphas[-1, :live[-1]]
         for t in range(times - 2, -1, -1):
             k, more = live[t], live[t + 1]
-            beta[:more] = ((model.emit[symbols[t + 1, :more]] * beta[:more]) @ model.move.T) / scales[t + 1, :more, None]
-            betas[t, :k] = beta[:k]
-        gamma = alphas * betas  # 0 where a sequence has ended
+            ahead = emitted[t + 1, :more]
+            ahead *= beta[:more]
+            emitted[t + 1, more:] = 0.0
+            np.matmul(ahead, back, out=beta[:more])
+            np.multiply(alphas[t, :k], beta[:k], out=gamma[t, :k])
         start += gamma[0].sum(0)
-        for s in range(states):
-            emit[:, s] += np.bincount(symbols.ravel(), gamma[:, :, s].ravel(), len(emit))
+        emit += by_symbol(symbols.ravel(), gamma.reshape(-1, states), len(emit))
         if times > 1:
-            ahead = betas[1:] * model.emit[symbols[1:]] / scales[1:, :, None]
-            move += model.move * (alphas[:-1].reshape(-1, states).T @ ahead.reshape(-1, states))
+            move += model.move * (alphas[:-1].reshape(-1, states).T @ emitted[1:].reshape(-1, states))
     return start, move, emit
 
 
+def by_symbol(symbols: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by symbol."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    found = symbols[order]
+    first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+    out = np.zeros((size, values.shape[1]))
+    out[found[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
 def estimate(counts: tuple[np.ndarray, np.ndarray, np.ndarray], background: np.ndarray) -> Model:
     """Parameters from expected counts, smoothed by the symbols' shares."""
     start, move, emit = counts

@@ -364,6 +364,28 @@ def test_forward_and_expected_counts():
     assert math.isclose((total(model._replace(emit=bumped)) - total(model)) / 1e-6, emit[3, 1], rel_tol=1e-3)
 
 
+def test_counts_by_symbol_of_all_states():
+    rnd = np.random.default_rng(3)
+    symbols, values = rnd.integers(0, 9, 500), rnd.uniform(size=(500, 4))
+    want = np.array([np.bincount(symbols, values[:, s], 11) for s in range(4)]).T
+    assert np.allclose(hmm.by_symbol(symbols, values, 11), want)
+    assert hmm.by_symbol(np.array([7]), np.ones((1, 2)), 8)[7].tolist() == [1.0, 1.0]
+
+
+def test_expected_counts_gather_the_emissions_once():
+    """One look-up of the emissions for a batch, which both directions use."""
+    class Counted(np.ndarray):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return np.asarray(super().__getitem__(key))
+
+    model = small_model()
+    hmm.expected(model._replace(emit=model.emit.view(Counted)), [np.array([0, 1, 2, 3]), np.array([4, 1])])
+    assert Counted.looked == 1
+
+
 def test_packed_ids_round_trip():
     ids = np.array([0, 1, 65535, 65536, 2 ** 24 - 1])
     assert hmm.unpack_ids(hmm.pack_ids(ids)).tolist() == ids.tolist()
