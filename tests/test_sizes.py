@@ -86,3 +86,15 @@ def test_only_the_named_files_are_staged(spark, tmp_path):
     whole = queries._staged_parts(spark, sf_dir).where(F.col("source_part") == part)
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(staged) == rows(whole)
+
+
+def test_staging_some_files_reads_these_files(spark, tmp_path):
+    """A batch opens the raw files that it takes: no landing table is built for it."""
+    sf_dir = small_lineitem(spark, tmp_path, 61)
+    root = warehouse.raw_files(spark, sf_dir)
+    name = sorted(f for f in os.listdir(root.removeprefix("file:")) if "1995-02" in f)[0].removeprefix("source_file=")
+    before = set(os.listdir(session.shared_dir(spark).removeprefix("file:")))
+    staged = queries._stage_files(spark, sf_dir, f"{tmp_path}/staged", [name.removesuffix(files.ZIP_SUFFIX), "no_such_part"])
+    new = set(os.listdir(session.shared_dir(spark).removeprefix("file:"))) - before
+    assert not [f for f in new if f.startswith("landing")]
+    assert {r[0] for r in staged.select("source_part").distinct().collect()} <= {name.removesuffix(files.ZIP_SUFFIX)}
