@@ -10,8 +10,6 @@ the same folders and finds their partitions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,13 +79,12 @@ def append(rows: DataFrame, name: str, parts: int | None = None) -> None:
     model.laid_out(checked, month, keys, parts).write.insertInto(name, overwrite=False)
 
 
-def fill_model(spark: SparkSession, database: str, run_ts: str | None = None,
-               tables: Iterable[str] = journal.TABLES, parts: int | None = None) -> None:
-    """Insert the model tables from the load table, all by name.
+def fill_model(spark: SparkSession, database: str, run_ts: str | None = None, parts: int | None = None) -> None:
+    """Insert the three model tables from the load table, all by name.
     ``parts``: tasks of each write."""
     load = spark.table(f"{database}.{LOAD_TABLE}").drop(journal.PART, model.FOLDER)
     made = model.model_tables(load, run_ts)
-    for table in tables:
+    for table in journal.TABLES:
         append(made[table], f"{database}.{table}", parts)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from test_files import GOOD, line, write_text
+from test_sizes import small_lineitem
+from taxiframe import queries
 from taxiframe.operators import clean, model
 from taxiframe.plans import trips
 from taxiframe.sources import catalog, file_index, files, folders, journal, sinks
@@ -267,6 +269,17 @@ def test_tables_by_name(spark, staged, tmp):
     catalog.drop_tables(spark, db)
 
 
+def test_tables_by_name_fills_every_table(spark, tmp):
+    """The query inserts all three model tables, not only the one that it returns."""
+    small_lineitem(spark, tmp)
+    got = queries.tables_by_name(spark, tmp)
+    load = trips.load_table(spark, tmp)
+    for name, want in model.model_tables(load, trips.RUN_TS).items():
+        assert stored(spark.table(f"taxiframe.{name}").drop(model.FOLDER)) == stored(want), name
+    assert spark.table(f"taxiframe.{catalog.LOAD_TABLE}").count() == got.count() == load.count() > 0
+    catalog.drop_tables(spark, "taxiframe")
+
+
 def test_columns_absent_by_file(spark, staged, tmp):
     rows = staged.select(*sinks.STAGED_COLUMNS).limit(6)
     rows.drop("improvement_surcharge", "VendorID", "pickup_geom").coalesce(1).write.parquet(f"{tmp}/old")
