@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxiframe.operators import model
+from taxiframe.session import storing
 from taxiframe.sources import folders, journal
 
 LOAD_TABLE = "tripdata_tmp"
@@ -76,7 +77,8 @@ def append(rows: DataFrame, name: str, parts: int | None = None) -> None:
     month, keys = journal.layout(FOLDERS[table])
     parts = parts or spark.sparkContext.defaultParallelism
     # Appended beside what is there, whatever the session says of overwriting.
-    model.laid_out(checked, month, keys, parts).write.insertInto(name, overwrite=False)
+    with storing(spark):
+        model.laid_out(checked, month, keys, parts).write.insertInto(name, overwrite=False)
 
 
 def fill_model(spark: SparkSession, database: str, run_ts: str | None = None, parts: int | None = None) -> None:
@@ -84,7 +86,8 @@ def fill_model(spark: SparkSession, database: str, run_ts: str | None = None, pa
     ``parts``: tasks of each write."""
     load = spark.table(f"{database}.{LOAD_TABLE}").drop(journal.PART, model.FOLDER)
     made = model.model_tables(load, run_ts)
-    for table in journal.TABLES:
+    # The widest first, while least is on disk beside its shuffle files.
+    for table in sorted(journal.TABLES, key=lambda name: len(made[name].columns), reverse=True):
         append(made[table], f"{database}.{table}", parts)
 
 
