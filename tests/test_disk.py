@@ -70,3 +70,23 @@ def test_large_tables_are_written_one_after_another():
 
 def test_rounds_are_bounded():
     assert [model.rounds(n) for n in (0, 1, model.ROUND_BYTES + 1, 1 << 50)] == [1, 1, 2, model.MOST_ROUNDS]
+
+
+def test_append_load_in_rounds(spark, staged, tmp):  # noqa: F811
+    """Rows and reruns are those of one write, also rows of no part."""
+    rows = staged.withColumn("source_part", F.when(F.col("source_part") != "02", F.col("source_part")))
+    before = shuffle_files(spark)
+    sinks.append_load(rows, tmp, n_bytes=1 << 40)
+    assert not left_by(spark, before) and codecs(tmp) == {"ZSTD"}
+    want = stored(model.conform_schema(rows))
+    read = lambda: stored(spark.read.parquet(tmp).drop("source_part"))
+    assert read() == want
+    sinks.append_load(rows.where("source_part = '00'"), tmp, n_bytes=1 << 40)
+    assert read() == want
+
+
+def test_append_tmp_leaves_no_shuffle_files(spark, tmp_path):
+    sf_dir, before = small_lineitem(spark, tmp_path, 63), shuffle_files(spark)
+    got = queries.append_tmp(spark, sf_dir)
+    assert not left_by(spark, before)
+    assert stored(got) == stored(trips.load_table(spark, sf_dir))
