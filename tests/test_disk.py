@@ -90,3 +90,75 @@ def test_append_tmp_leaves_no_shuffle_files(spark, tmp_path):
     got = queries.append_tmp(spark, sf_dir)
     assert not left_by(spark, before)
     assert stored(got) == stored(trips.load_table(spark, sf_dir))
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_loads_in_rounds(spark, staged, base, tmp, monkeypatch, rounds):  # noqa: F811
+    """A load's rows by months give the tables of a single write, and its copy of
+    the rows is gone before the model tables are made."""
+    monkeypatch.setattr(model, "ROUND_BYTES", 1 if rounds > 1 else 1 << 40)
+    written, seen, write, rebuild = [], [], model.write_table, journal._rebuild_days
+
+    def counted(rows, path, *args):
+        written.append(path.split("/")[-1])
+        write(rows, path, *args)
+
+    def looked(spark, root, load_id, name):
+        seen.append(folders.exists(spark, f"{root}/journal/{load_id}/rows"))
+        rebuild(spark, root, load_id, name)
+
+    monkeypatch.setattr(model, "write_table", counted)
+    monkeypatch.setattr(journal, "_rebuild_days", looked)
+    root, before = copied(base, tmp), shuffle_files(spark)
+    none = staged.withColumn("tpep_pickup_datetime", F.when(F.col("source_part") == "02", None).otherwise(
+        F.col("tpep_pickup_datetime")))
+    journal.load(none, root, ["01", "02"], run_ts=trips.RUN_TS)
+    assert not left_by(spark, before)
+    assert seen == [False] * 3
+    assert all((written.count(t) > 1) == (rounds > 1) for t in ("load", *journal.TABLES))
+    assert journal.read(spark, root, "trips_pickup").where("day IS NULL").count() > 0
+    check_tables(spark, root, none, tmp)
+    journal.load(staged, root, ["02"], run_ts=trips.RUN_TS)
+    check_tables(spark, root, staged, tmp)
+    first = f"{tmp}/first"
+    journal.load(none, first, run_ts=trips.RUN_TS)
+    check_tables(spark, first, none, tmp)
+
+
+@pytest.mark.parametrize("step", ["index:trips_data", "before:_CLEAN"])
+def test_load_in_rounds_broken(spark, staged, base, tmp, monkeypatch, step):  # noqa: F811
+    monkeypatch.setattr(model, "ROUND_BYTES", 1)
+    root = copied(base, tmp)
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        break_at(patch, step)
+        journal.load(staged, root, ["01", "02"], run_ts=trips.RUN_TS)
+    journal.resume(spark, root)
+    check_tables(spark, root, staged, tmp)
+
+
+def test_rows_of_early_years_are_in_a_round(spark, staged, tmp, monkeypatch):  # noqa: F811
+    """Years whose names are of another form in the driver."""
+    monkeypatch.setattr(model, "ROUND_BYTES", 1)
+    old = F.when(F.col("source_part") == "01", F.lit("0900-03-01 10:00:00")).otherwise(F.col("tpep_pickup_datetime"))
+    rows = staged.withColumn("tpep_pickup_datetime", old)
+    journal.load(rows, tmp, run_ts=trips.RUN_TS)
+    check_tables(spark, tmp, rows, tmp)
+
+
+def test_record_of_an_older_version(spark, tmp):
+    """A record that doesn't say how many bytes its rows take."""
+    at = f"{tmp}/journal/000001"
+    spark.createDataFrame([("2024-01-15 13:45:00", None)], "run_ts string, key string").write.parquet(f"{at}/info")
+    spark.range(10).write.parquet(f"{at}/rows")
+    assert journal._n_bytes(spark, tmp, "000001") == folders.n_bytes(spark, f"{at}/rows") > 0
+
+
+def test_loaded_files_leave_the_quarantine_only(spark, tmp_path):
+    sf_dir = small_lineitem(spark, tmp_path, 64)
+    spark.createDataFrame(
+        [(i, 3 * i, 5 * i, i % 7, datetime.datetime(1996, 1 + i % 12, 1 + i % 28)) for i in range(400)],
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema).write.mode("append").parquet(f"{sf_dir}/lineitem.parquet")
+    root = queries.incremental_warehouse(spark, sf_dir).removeprefix("file:")
+    sides = {d.split("/")[-1] for d, _, names in os.walk(f"{root}/staged") for f in names if f.endswith(".parquet")}
+    assert sides == {"status=quarantined"}
+    assert journal.read(spark, root, "trips_data").count() == trips.load_table(spark, sf_dir).count()
